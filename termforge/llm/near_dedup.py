@@ -5,10 +5,13 @@ circularly by k, is minimised for coordinate k. Bands of ROWS coordinates select
 the full sets of 64-bit shingle hashes. At a Jaccard similarity of exactly 0.75 a pair shares no band with probability
 (1 - 0.75**ROWS)**BANDS, about 2e-6; above it less.
 
-No step emits all pairs of a group. Documents with equal sets become one class before banding. Members of a bucket are
-first compared with their bucket's first member, then, only where components still differ, with the others; pairs whose
-set sizes cannot reach the threshold are left out. Buckets are range-partitioned on (band hash, id), so a hot bucket is cut
-over several partitions; what the cut separates meets again in the last round, which groups by bucket.
+No step emits all pairs of a group. Documents with equal sets become one class before banding. A document's weight is the
+size of its buckets together, so the original of a group of near copies outweighs its variants; a bucket's head is its
+heaviest member, and a document's hub the heaviest head of its buckets. Every document is compared with its hub. Those
+that do not link are compared with all of their hub's other documents, in blocks of bounded size, where only links leave
+the block, one for each component they join. What is left are pairs of one bucket with different hubs and components.
+Pairs whose set sizes cannot reach the threshold are left out. Buckets are range-partitioned on (band hash, id), so a hot
+bucket is cut over several partitions; its head is found by a partial aggregate over all of them.
 
 A document's set: its distinct 5-word shingles; with fewer words the whole sequence; without words empty and linked with
 nothing. Null text has no words. Rows without doc_id take part under one common last id and report a null component unless
@@ -28,6 +31,8 @@ from termforge.llm.components import connected_components
 WORDS, BANDS, ROWS, NUMERATOR = 5, 48, 5, 75
 #: Sets this small reach the threshold only with an equal set.
 ALONE = 2
+#: Documents in a block of the comparisons within one hub.
+BLOCK = 1000
 
 
 def shingle_sets(column, words: int = WORDS):
@@ -130,11 +135,64 @@ def _buckets(batches):
     size = np.diff(np.append(start, len(key)))
     shared = size > 1
     shared[0] = shared[-1] = True
-    head = np.repeat(start, size)
-    take = np.flatnonzero(np.repeat(shared, size))
+    size, take = np.repeat(size, size), np.flatnonzero(np.repeat(shared, size))
     for i in range(0, len(take), 20_000):
         t = take[i : i + 20_000]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[t], ids[t], n[t], ids[head[t]], n[head[t]])], ["key", "id", "n", "head", "head_n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[t], ids[t], n[t], size[t])], ["key", "id", "n", "size"])
+
+
+def _block_links(probes, members, numerator):
+    """Links of unlinked documents with the members of a block: one for each component that they join."""
+    import numpy as np
+
+    ids, linked, sets = (list(x) for x in zip(*members, strict=True))
+    sizes = np.array([len(x) for x in sets])
+    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(known) + 1, np.int64)
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for probe, _, items in probes:
+        at = np.minimum(np.searchsorted(known, items), len(known) - 1)
+        at = at[known[at] == items]
+        mark[at] = 1
+        both = np.add.reduceat(mark[flat], offsets)
+        mark[at] = 0
+        for k in np.flatnonzero(100 * both >= numerator * (len(items) + sizes - both)).tolist():
+            if ids[k] != probe:
+                a, b = root(probe), root(None if linked[k] else ids[k])  # None: the hub's component
+                if a != b:
+                    parent[a] = b
+                    yield probe, ids[k]
+
+
+def _blocks(batches, numerator):
+    """Links within each (hub, ublock, mblock) of one sorted partition."""
+    import pyarrow as pa
+
+    key, probes, members, out = None, [], [], []
+
+    def done():
+        if probes and members:
+            out.extend(_block_links(probes, members, numerator))
+        probes.clear()
+        members.clear()
+
+    for batch in batches:
+        items = batch.column("items")
+        at, flat = items.offsets.to_numpy(), items.values.to_numpy()
+        for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "ublock", "mblock", "probe", "id", "linked")), strict=True)):
+            if row[:3] != key:
+                done()
+                key = row[:3]
+            (probes if row[3] else members).append((row[4], row[5], flat[at[i] : at[i + 1]].copy()))
+    done()
+    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, numerator: int = NUMERATOR) -> DataFrame:
@@ -149,11 +207,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, row
     exploded = classes.where(F.col("n") > ALONE).select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
     parts = partitions(spark, classes.count() * bands)
     stars = exploded.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
-    stars = materialize(stars.mapInArrow(_buckets, "key long, id long, n long, head long, head_n long"), "buckets")
+    stars = materialize(stars.mapInArrow(_buckets, "key long, id long, n long, size long"), "buckets")
     near = lambda a, b: 100 * F.least(a, b) >= numerator * F.greatest(a, b)
 
-    wanted = materialize(stars.select("id").distinct(), "wanted")
-    sets = keyed_join(with_sid(docs, "text").select("sid", "text"), wanted.select(F.col("id").alias("sid")), "sid", "left_semi", 16)
+    weights = stars.groupBy("id").agg(F.sum("size").alias("weight"))
+    weighed = materialize(stars.select("key", "id", "n").join(weights, "id"), "weighed")
+    heads = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("head"))
+    family = weighed.join(heads, "key").groupBy("id").agg(F.max("head").alias("head")).select("id", (-F.col("head.id")).alias("hub"))
+    family = materialize(family, "hubs")
+
+    sets = keyed_join(with_sid(docs, "text").select("sid", "text"), family.select(F.col("id").alias("sid")), "sid", "left_semi", 16)
     sets = materialize(sets.mapInArrow(partial(_sets, words=words), "id long, items array<long>"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -162,35 +225,32 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, row
         both = F.size(F.array_intersect("x", "y"))
         return materialize(pairs.join(left, "a").join(right, "b").where(100 * both >= numerator * (F.size("x") + F.size("y") - both)).select("a", "b"), "linked")
 
-    def labels(edges: DataFrame) -> DataFrame:
-        return materialize(connected_components(edges), "labels")
-
-    # 1: each document with the smallest head of its buckets. 2: with its other heads, where components still differ.
-    hub = stars.where((F.col("id") != F.col("head")) & near(F.col("n"), F.col("head_n")))
-    tried = materialize(hub.groupBy("id").agg(F.min("head").alias("a")).select("a", F.col("id").alias("b")), "pairs")
-    edges = verified(tried)
-    label = labels(edges)
-
-    def named(df: DataFrame, col: str, out: str) -> DataFrame:
-        return df.join(label.select(F.col("node").alias(col), F.col("component").alias(out)), col, "left").withColumn(out, F.coalesce(out, col))
-
-    def next_round(pairs: DataFrame) -> bool:
-        nonlocal tried, edges, label
-        pairs = materialize(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            return False
-        tried, edges = tried.union(pairs), edges.union(verified(pairs))
-        label = labels(edges)
-        return True
-
-    next_round(named(named(hub.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "a", "ca"), "b", "cb").where("ca != cb"))
-    # 3: any two members of a bucket whose components differ.
-    inside = named(stars.select("key", "id", "n"), "id", "c")
-    mixed = inside.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("key")
+    # 1: each document with its hub.
+    edges = verified(family.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    family = family.join(edges.select(F.col("a").alias("hub"), F.col("b").alias("id"), F.lit(True).alias("hit")).distinct(), ["hub", "id"], "left")
+    family = materialize(family.select("id", "hub", (F.coalesce("hit", F.lit(False)) | (F.col("id") == F.col("hub"))).alias("linked")), "family")
+
+    # 2: those not linked with all others of their hub, in blocks.
+    sizes = family.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("gm"), F.ceil(F.count_if(~F.col("linked")) / BLOCK).cast("int").alias("gu"))
+    split = family.join(sizes.where("gu > 0"), "hub")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    deal = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    members = split.select("hub", upto("gu").alias("ublock"), deal("gm").alias("mblock"), F.lit(False).alias("probe"), "id", "linked")
+    probes = split.where("not linked").select("hub", deal("gu").alias("ublock"), upto("gm").alias("mblock"), F.lit(True).alias("probe"), "id", "linked")
+    dealt = members.union(probes).join(sets, "id").repartition(partitions(spark), "hub", "ublock", "mblock").sortWithinPartitions("hub", "ublock", "mblock")
+    edges = edges.union(materialize(dealt.mapInArrow(partial(_blocks, numerator=numerator), "a long, b long"), "linked"))
+    label = materialize(connected_components(edges), "labels")
+
+    # 3: members of one bucket whose hubs and components differ.
+    inside = weighed.select("key", "id", "n").join(family.select("id", "hub"), "id").join(label.select(F.col("node").alias("id"), "component"), "id", "left")
+    inside = inside.select("key", "id", "n", "hub", F.coalesce("component", "id").alias("c"))
+    mixed = inside.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("hub").alias("h1"), F.max("hub").alias("h2")).where("low != high and h1 != h2").select("key")
     inside = materialize(inside.join(mixed, "key", "left_semi"), "mixed")
-    x, y = (inside.select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "c"))) for s in "xy")
-    cross = x.join(y, "key").where((F.col("idx") < F.col("idy")) & (F.col("cx") != F.col("cy")) & near(F.col("nx"), F.col("ny")))
-    next_round(cross.select(F.col("idx").alias("a"), F.col("idy").alias("b")))
+    x, y = (inside.select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "hub", "c"))) for s in "xy")
+    apart = (F.col("idx") < F.col("idy")) & (F.col("cx") != F.col("cy")) & (F.col("hubx") != F.col("huby")) & (F.col("idx") != F.col("huby")) & (F.col("idy") != F.col("hubx"))
+    cross = materialize(x.join(y, "key").where(apart & near(F.col("nx"), F.col("ny"))).select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct(), "pairs")
+    if not cross.isEmpty():
+        label = materialize(connected_components(edges.union(verified(cross))), "labels")
 
     out = member.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
     component = F.coalesce("component", "rep")
