@@ -24,7 +24,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import BROADCAST_BYTES, BYTE_CODE, chunks, keyed_join, materialize, mix, partitions, powers, span_hashes, text_buffers, with_sid
+from termforge.llm.common import BYTE_CODE, chunks, keyed_join, materialize, mix, partitions, powers, span_hashes, text_buffers, with_sid
 
 LENGTH, GRAM = 50, 24
 #: Text, or gathered surroundings, that a task combines before it sends them on; text for each part of the anchors.
@@ -141,24 +141,34 @@ def _columns(batches, kinds):
         yield [np.concatenate([np.frombuffer(r[c], t) for r in out[kind]]) if out[kind] else np.zeros(0, t) for c, t in kinds] + [np.repeat(np.array([r["part"] for r in out[kind]], np.int64), [len(r["sid"]) // 8 for r in out[kind]])]
 
 
-def _rows_by_document(sid, payload, name):
-    """(sid, payload bytes) with one row a document."""
+def _to_documents(sid, payload, parts):
+    """(part, sid, x): the payload dealt by document, one row a part, so rows do not grow with documents times parts."""
+    batch = _by_part(sid % parts, 0, [sid, payload, None, None])
+    yield batch.select(["part", "sid", "x"])
+
+
+def _documents(batches, kind, width):
+    """(sid, x) with one row a document from the rows of the parts."""
     import numpy as np
     import pyarrow as pa
 
+    rows = [r for batch in batches for r in zip(batch.column("sid").to_pylist(), batch.column("x").to_pylist(), strict=True)]
+    if not rows:
+        return
+    sid, payload = (np.concatenate([np.frombuffer(r[i], t) for r in rows]) for i, t in ((0, np.int64), (1, kind)))
+    payload = payload.reshape(len(sid), width)
     order = np.argsort(sid, kind="stable")
-    sid, payload = sid[order], np.ascontiguousarray(payload[order])
+    sid, payload = sid[order], payload[order]
     start, _ = _runs(sid)
-    width = payload.itemsize * (payload.shape[1] if payload.ndim > 1 else 1)
-    for i in range(0, len(start), 20_000):
-        s = start[i : i + 20_000]
-        bounds = np.append(s, start[i + 20_000] if i + 20_000 < len(start) else len(sid))
-        raw = payload[bounds[0] : bounds[-1]].tobytes()
-        offsets = ((bounds - bounds[0]) * width).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(sid[s]), pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])], ["sid", name])
+    bounds = np.append(start, len(sid))
+    for i in range(0, len(start), 5_000):
+        b = bounds[i : i + 5_001]
+        raw = payload[b[0] : b[-1]].tobytes()
+        offsets = ((b - b[0]) * width * payload.itemsize).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(sid[b[:-1]]), pa.Array.from_buffers(pa.binary(), len(b) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])], ["sid", "x"])
 
 
-def _shared_anchors(batches):
+def _shared_anchors(batches, parts):
     """Where the anchors lie that two documents have."""
     import numpy as np
 
@@ -170,7 +180,7 @@ def _shared_anchors(batches):
     if len(start):
         shared = (np.minimum.reduceat(sid, start) != np.maximum.reduceat(sid, start))[run]
         sid, pos = sid[shared], pos[shared]
-    yield from _rows_by_document(np.concatenate((sid, more_sid)), np.concatenate((pos, more_pos)), "pos")
+    yield from _to_documents(np.concatenate((sid, more_sid)), np.concatenate((pos, more_pos)), parts)
 
 
 def _classes(sid, low, high, ctx):
@@ -211,10 +221,10 @@ def _send_contexts(batches, length, gram, parts):
             yield _by_part(sid[later] % parts, 1, [sid[later], np.stack((begin + low[later], begin + high[later]), 1).astype(np.int32), None, None])
 
     for batch in batches:
-        ids, wanted = batch.column("sid").to_numpy(), batch.column("pos").to_pylist()
+        ids, wanted = batch.column("sid").to_numpy(), batch.column("x").to_pylist()
         data, at = text_buffers(batch.column("text"))
-        for i, lists in enumerate(wanted):
-            text, pos = data[at[i] : at[i + 1]], np.unique(np.concatenate([np.frombuffer(p, np.int32) for p in lists])).astype(np.int64)
+        for i, own in enumerate(wanted):
+            text, pos = data[at[i] : at[i + 1]], np.unique(np.frombuffer(own, np.int32)).astype(np.int64)
             pos = pos[pos + gram <= len(text)]
             if not len(pos):
                 continue
@@ -282,7 +292,7 @@ def previous_factors(rank, doc):
     return out
 
 
-def _repeated(batches, length, gram):
+def _repeated(batches, length, gram, parts):
     """Spans that earlier documents hold, as (sid, pairs of positions)."""
     import numpy as np
 
@@ -330,7 +340,7 @@ def _repeated(batches, length, gram):
         first = (sid == least[cls]) & (b_off[cls] >= 0)
         out_sid.append(sid[first])
         out.append(np.stack((begin + a_off[cls], begin + b_off[cls] + length), 1)[first].astype(np.int32))
-    yield from _rows_by_document(np.concatenate(out_sid), np.concatenate(out).reshape(-1, 2), "spans")
+    yield from _to_documents(np.concatenate(out_sid), np.concatenate(out).reshape(-1, 2), parts)
 
 
 def merge_spans(pairs):
@@ -354,9 +364,9 @@ def _removed(batches):
     for batch in batches:
         data, at = text_buffers(batch.column("text"))
         removed, spans, sha, kept = [], [], [], []
-        for i, lists in enumerate(batch.column("spans").to_pylist()):
+        for i, own in enumerate(batch.column("x").to_pylist()):
             text = data[at[i] : at[i + 1]]
-            pairs = np.concatenate([np.frombuffer(p, np.int32).reshape(-1, 2) for p in lists]).astype(np.int64)
+            pairs = np.frombuffer(own, np.int32).reshape(-1, 2).astype(np.int64)
             pairs = merge_spans(np.minimum(pairs, len(text)))
             pairs = pairs[pairs[:, 0] < pairs[:, 1]]
             left, digest = 0, hashlib.sha256()
@@ -389,23 +399,19 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
     if copies:
         texts = keyed_join(texts, base.where("copy").select("sid", "row"), ["sid", "row"], "left_anti", 24, copies)
 
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition(parts, "part")
-
-    sent = texts.select("sid", "text").mapInArrow(partial(_send_anchors, length=length, gram=gram, parts=parts), PART)
-    shared = materialize(dealt(sent).mapInArrow(_shared_anchors, "sid long, pos binary"), "shared")
-
-    def joined(lists: DataFrame, name: str) -> DataFrame:
-        size, n = lists.agg(F.sum(F.octet_length(name)), F.count("*")).first()
-        own = lists.groupBy("sid").agg(F.collect_list(name).alias(name))
-        small = (size or 0) + 32 * n <= BROADCAST_BYTES
-        return texts.join(F.broadcast(own) if small else own.hint("merge"), "sid")
+    def by_document(df: DataFrame, kind: str, width: int) -> DataFrame:
+        return df.repartition(parts, "part").mapInArrow(partial(_documents, kind=kind, width=width), "sid long, x binary")
 
-    around = joined(shared, "pos").select("sid", "text", "pos").mapInArrow(partial(_send_contexts, length=length, gram=gram, parts=parts), PART)
-    spans = materialize(dealt(around).mapInArrow(partial(_repeated, length=length, gram=gram), "sid long, spans binary"), "spans").where("octet_length(spans) > 0")
+    # The lists grow with the text, so the texts meet them by a shuffle at every size.
+    sent = texts.select("sid", "text").mapInArrow(partial(_send_anchors, length=length, gram=gram, parts=parts), PART).repartition(parts, "part")
+    shared = by_document(sent.mapInArrow(partial(_shared_anchors, parts=parts), "part int, sid binary, x binary"), "int32", 1)
+    around = texts.join(shared.hint("merge"), "sid").select("sid", "text", "x")
+    around = around.mapInArrow(partial(_send_contexts, length=length, gram=gram, parts=parts), PART).repartition(parts, "part")
+    spans = by_document(around.mapInArrow(partial(_repeated, length=length, gram=gram, parts=parts), "part int, sid binary, x binary"), "int32", 2)
+    spans = materialize(spans, "spans")
     kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"
-    cut = joined(spans, "spans").select("doc_id", "text", "spans").mapInArrow(_removed, kind)
-    rest = base.join(spans.select("sid").distinct().withColumn("cut", F.lit(True)), "sid", "left").where(F.col("copy") | F.col("cut").isNull())
+    cut = texts.join(spans.hint("merge"), "sid").select("doc_id", "text", "x").mapInArrow(_removed, kind)
+    rest = base.join(spans.select("sid").withColumn("cut", F.lit(True)), "sid", "left").where(F.col("copy") | F.col("cut").isNull())
     gone = F.col("copy")
     rest = rest.select(
         "doc_id",
