@@ -1,4 +1,341 @@
-"""Queries of the annotation engine over the test tables."""
+"""Queries of the annotation engine over the test tables, each with SQL that gives the same rows where SQL can.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+The tables hold invented prose, so the dictionary is one of frequent letter groups; documents in English are the topics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from termforge.config import LabelerConfig
+from termforge.functions import similarity, text, urls
+from termforge.operators import candidates as C
+from termforge.operators import dedup, html
+from termforge.operators import labels as L
+from termforge.operators import sentences as S
+from termforge.operators import topics as T
+from termforge.operators import verdicts as V
+from termforge.operators.judge import DenyJudge, TableJudge
+from termforge.plans.annotate import annotate
+from termforge.sources import sinks
+from termforge.sources.dictionary import from_rows
+from termforge.streaming.annotate_stream import windowed_counts
+
+#: entry, uid, values: (value, specificity, duality rule)
+TERMS = [
+    (0, "t0", [("thing", "CANONICAL", None), ("ething", "VARIANT", None)]),
+    (1, "t1", [("onble", "CANONICAL", None), ("enble", "MOSTLY_USED", None), ("erble", "GENERIC", None)]),
+    (2, "t2", [("hain", "CANONICAL", None), ("Hain", "VARIANT", "CASE_SENSITIVE")]),
+    (3, "t3", [("reor", "VARIANT", None)]),
+    (4, "t4", [("wherer", "CANONICAL", None), ("ouwh", "PHONETIC", None), ("and", "VARIANT", None)]),
+]
+VERDICTS = [("hain", "hain", True), ("handing", "and", True), ("andre", "and", True), ("hand", "and", False), ("thand", "and", False), ("ashain", "hain", True)]
+MIN, RATIO, MAX_CONTEXT, LIMIT = 15, 0.3, 120, 25
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _topics(spark, sf_dir):
+    return S.topics_from_documents(_table(spark, sf_dir, "documents"))
+
+
+def _sentences(spark, sf_dir):
+    return S.sentences(_topics(spark, sf_dir), "en", MIN, RATIO)
+
+
+def _candidates(spark, sf_dir):
+    return C.find_candidates(_sentences(spark, sf_dir), from_rows(spark, TERMS))
+
+
+def _judge(spark):
+    return TableJudge(spark.createDataFrame(VERDICTS, "surface string, value string, is_form boolean"))
+
+
+def _resolved(spark, sf_dir, judge=True):
+    return V.resolve(_candidates(spark, sf_dir), _judge(spark) if judge else None)
+
+
+def _labelled(spark, sf_dir):
+    return L.labelled_sentences(_resolved(spark, sf_dir), MAX_CONTEXT, MIN)
+
+
+def normalize_text(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("normalized"))
+
+
+def sentence_split(spark, sf_dir):
+    return S.raw_sentences(_topics(spark, sf_dir), "en").where(F.length("raw") >= MIN).select("topic_seq", "sent_seq", "raw")
+
+
+def sentence_filter(spark, sf_dir):
+    return _sentences(spark, sf_dir).select("topic_seq", "sent_seq", "text")
+
+
+def language_ratio(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").where("text != ''")
+    return docs.select("doc_id", F.round(text.script_ratio(F.col("text"), "en"), 9).alias("ratio"), text.is_target_language(F.col("text"), "en", 0.75).alias("is_target"))
+
+
+def topic_diagnostics(spark, sf_dir):
+    has = C.has_candidate(from_rows(spark, TERMS), F.trim("raw"))
+    return S.diagnostics(_topics(spark, sf_dir), "en", has, MIN, RATIO).select("topic_seq", "short", "foreign", "no_candidate", "with_candidate")
+
+
+def dictionary_values(spark, sf_dir):
+    return from_rows(spark, TERMS).select("entry_seq", "value_seq", "uid", "canonical", "value", "specificity", F.col("duality.rule").alias("rule"))
+
+
+def candidates(spark, sf_dir):
+    return _candidates(spark, sf_dir).select("topic_seq", "sent_seq", "entry_seq", "value_seq", "occ_seq", "canonical", "value", "surface", "start", "end")
+
+
+def has_candidate(spark, sf_dir):
+    has = C.has_candidate(from_rows(spark, TERMS), F.col("text"))
+    return _sentences(spark, sf_dir).where(has).select("topic_seq", "sent_seq")
+
+
+_VERDICT = ("topic_seq", "sent_seq", "entry_seq", "value_seq", "occ_seq", "surface", "value", "is_valid")
+
+
+def cascade_without_judge(spark, sf_dir):
+    return _resolved(spark, sf_dir, judge=False).select(*_VERDICT)
+
+
+def cascade_table_judge(spark, sf_dir):
+    return _resolved(spark, sf_dir).select(*_VERDICT)
+
+
+def dual_case_sensitive(spark, sf_dir):
+    return _resolved(spark, sf_dir).where("duality is not null").select(*_VERDICT)
+
+
+def _label_text(col):
+    one = lambda x: F.concat_ws("|", x["surface"], x["canonical"], F.coalesce(x["variant"], F.lit("-")), x["start"], x["end"])
+    return F.array_join(F.transform(col, one), ";")
+
+
+def labelled_sentences(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    return rows.select("topic_seq", "topic_url", "sent_seq", "part", "text", _label_text("valid_labels").alias("valid"), _label_text("invalid_labels").alias("invalid"))
+
+
+def context_windows(spark, sf_dir):
+    return _labelled(spark, sf_dir).where(F.col("topic_url").endswith(L.CONTEXT)).select("topic_seq", "sent_seq", "part", "text")
+
+
+def split_records(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    both = [sinks.record_rows(rows, w).select(F.lit(w).alias("file"), "topicUrl", "text", F.size("labels").alias("n_labels")) for w in ("valid", "invalid")]
+    return both[0].unionByName(both[1])
+
+
+def dictionary_counters(spark, sf_dir):
+    return L.counters(_resolved(spark, sf_dir)).where("kind = 'dictionary'").select("value", "found", F.col("first_seq.topic_seq").alias("first_topic"))
+
+
+def surface_counters(spark, sf_dir):
+    return L.counters(_resolved(spark, sf_dir)).where("kind = 'text'").select("value", "found")
+
+
+def counter_totals(spark, sf_dir):
+    return L.counter_totals(L.counters(_resolved(spark, sf_dir)))
+
+
+def merged_counters(spark, sf_dir):
+    """Counters of a second run on top of those of the first."""
+    once = L.counters(_resolved(spark, sf_dir))
+    return L.counters(_resolved(spark, sf_dir), once).select("kind", "value", "found")
+
+
+def seen_terms(spark, sf_dir):
+    return V.terms_seen(_resolved(spark, sf_dir))
+
+
+def labelling_totals(spark, sf_dir):
+    return L.totals(_labelled(spark, sf_dir))
+
+
+def summary(spark, sf_dir):
+    return sinks.summary(_labelled(spark, sf_dir)).select("sentences", F.array_join("labels", ",").alias("labels"))
+
+
+def first_sentences(spark, sf_dir):
+    return L.first_sentences(_labelled(spark, sf_dir), LIMIT).select("forum_url", "topic_seq", "sent_seq", "part")
+
+
+def limited_counters(spark, sf_dir):
+    """Counters when each forum stops after its first sentences: topics up to the one that holds the next."""
+    config = LabelerConfig(language="en", min_sentence_length=MIN, max_sentence_length_for_context=MAX_CONTEXT, max_sentences=LIMIT)
+    return annotate(_topics(spark, sf_dir), from_rows(spark, TERMS), config, _judge(spark)).counters.where("kind = 'dictionary'").select("value", "found")
+
+
+def deny_judge(spark, sf_dir):
+    rows = V.resolve(_candidates(spark, sf_dir), DenyJudge())
+    return rows.groupBy("value").agg(F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("invalid"))
+
+
+def skip_done_topics(spark, sf_dir):
+    """Topics left when those with labels are done."""
+    done = _table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("topic_url"))
+    return S.pending(_topics(spark, sf_dir), done).select("topic_seq", "forum_url")
+
+
+def topic_urls(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    url = F.concat("url", F.lit("&t="), F.col("page_id").cast("string"), F.lit("&start=25&sid=abc#p1"))
+    return pages.select("page_id", urls.canonical_url(url).alias("canonical"), urls.topic_id(url).alias("topic_id"), urls.absolute_url(F.concat(F.lit("./"), F.col("url")), "https://forum.example/").alias("absolute"))
+
+
+def fingerprints(spark, sf_dir):
+    return _table(spark, sf_dir, "benchmark").select("item_id", text.fingerprint(F.col("text")).alias("fingerprint"))
+
+
+def _turn_pairs(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "[^ -~]", ""))
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other"))
+    return turns.select("conv_id", "turn", "text").join(after, ["conv_id", "turn"])
+
+
+def levenshtein_pairs(spark, sf_dir):
+    rows = _turn_pairs(spark, sf_dir)
+    score = similarity.levenshtein_similarity(F.col("text"), F.col("other"))
+    return rows.select("conv_id", "turn", F.round(score, 9).alias("similarity"), similarity.is_duplicate(F.col("text"), F.col("other"), "levenshtein").alias("duplicate"))
+
+
+def jaccard_pairs(spark, sf_dir):
+    rows = _turn_pairs(spark, sf_dir)
+    return rows.select("conv_id", "turn", F.round(similarity.jaccard_similarity(F.col("text"), F.col("other")), 9).alias("similarity"))
+
+
+def cosine_pairs(spark, sf_dir):
+    rows = _turn_pairs(spark, sf_dir)
+    return rows.select("conv_id", "turn", F.round(similarity.cosine_distance(F.col("text"), F.col("other")), 6).alias("distance"))
+
+
+def near_duplicate_records(spark, sf_dir):
+    """Benchmark items and the first turns of conversations, near copies removed in order."""
+    items = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("line_seq"), "text")
+    turns = _table(spark, sf_dir, "conversations").where("turn = 0").select((F.col("conv_id") + 1_000_000_000).alias("line_seq"), "text")
+    return dedup.near_duplicates(items.unionByName(turns)).select("line_seq", "kept")
+
+
+def cleaned_pages(spark, sf_dir):
+    """Page texts; these pages keep their posts in a plain article element."""
+    return html.clean_html(_table(spark, sf_dir, "pages"), selectors=(*html.POST_SELECTORS, "article")).select("page_id", "cleaned")
+
+
+def page_titles(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("topic_url"), "html")
+    return T.topic_metadata(pages, "VBULLETIN").select("topic_url", "title", "author")
+
+
+def event_windows(spark, sf_dir):
+    return windowed_counts(_table(spark, sf_dir, "events")).select("start", "event_type", "n", F.round("total", 2).alias("total"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        normalize_text, sentence_split, sentence_filter, language_ratio, topic_diagnostics, dictionary_values, candidates, has_candidate, cascade_without_judge, cascade_table_judge,
+        dual_case_sensitive, labelled_sentences, context_windows, split_records, dictionary_counters, surface_counters, counter_totals, merged_counters, seen_terms, labelling_totals, summary,
+        first_sentences, limited_counters, deny_judge, skip_done_topics, topic_urls, fingerprints, levenshtein_pairs, jaccard_pairs, cosine_pairs, near_duplicate_records, cleaned_pages, page_titles, event_windows,
+    )
+}
+
+# --- the same in SQL ------------------------------------------------------------------------------------------------------
+
+
+def _values(rows) -> str:
+    lit = lambda x: "NULL" if x is None else str(x).lower() if isinstance(x, bool) else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
+
+
+_DICT = [(e, i, uid, next((v for v, s, _ in vs if s == "CANONICAL"), None), v, s, r) for e, uid, vs in TERMS for i, (v, s, r) in enumerate(vs)]
+_NORM = r"trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\r\n]', ' ', 'g'), '([.,!?;:])([^ ])', '\1 \2', 'g'), '\s+', ' ', 'g'))"
+_SENT = rf"""
+    dict(entry_seq, value_seq, uid, canonical, value, specificity, rule) AS (VALUES {_values(_DICT)}),
+    verdicts(surf, val, is_form) AS (VALUES {_values(VERDICTS)}),
+    pieces AS (SELECT doc_id AS topic_seq, source AS forum_url, string_split(regexp_replace(regexp_replace({_NORM.format("text")}, '[.!?]+(\s+[A-Z])', chr(1) || '\1', 'g'), '[.!?]+$', ''), chr(1)) AS p
+               FROM documents WHERE lang = 'en' AND text != ''),
+    raws AS (SELECT topic_seq, forum_url, i - 1 AS sent_seq, p[i] AS raw FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM pieces)),
+    tested AS (SELECT *, length(raw) < {MIN} AS short, trim(raw) AS text, length(regexp_replace(trim(raw), '[^a-zA-Z]', '', 'g')) / length(trim(raw)) > {RATIO} AS target FROM raws),
+    sents AS (SELECT topic_seq, forum_url, sent_seq, text FROM tested WHERE NOT short AND text != '' AND target)"""
+_CAND = rf"""{_SENT},
+    cut AS (SELECT s.*, d.*, string_split(lower(s.text), lower(d.value)) AS q FROM sents s JOIN dict d ON contains(lower(s.text), lower(d.value)) WHERE d.canonical IS NOT NULL),
+    occ AS (SELECT *, CAST(list_sum(list_transform(q[1:k], lambda x: length(x))) AS BIGINT) + (k - 1) * length(value) AS idx FROM (SELECT *, unnest(range(1, len(q))) AS k FROM cut)),
+    ext AS (SELECT *, idx - length(regexp_extract(left(text, idx), '[\p{{L}}\p{{Nd}}]*$')) AS a, idx + length(value) + length(regexp_extract(substr(text, idx + length(value) + 1), '^[\p{{L}}\p{{Nd}}]*')) AS b FROM occ),
+    cand AS (SELECT topic_seq, forum_url, sent_seq, text, entry_seq, value_seq, k - 1 AS occ_seq, canonical, value, specificity, rule, substr(text, a + 1, b - a) AS surface, a AS "start", b AS "end",
+                    lower(substr(text, a + 1, b - a)) AS surf, lower(value) AS val FROM ext)"""
+
+
+def _cascade(answer: str) -> str:
+    order = "topic_seq, sent_seq, entry_seq, value_seq, occ_seq"
+    other = "(rule IS NOT NULL AND length(surface) = length(value) AND surface != value)"
+    return rf"""{_CAND},
+    asked AS (SELECT c.*, {answer} AS ans FROM cand c LEFT JOIN verdicts v USING (surf, val)),
+    ev AS (SELECT *, CASE WHEN {other} THEN coalesce(ans, false) WHEN rule IS NOT NULL OR val = surf THEN true ELSE ans END AS own,
+                  CASE WHEN {other} THEN NULL WHEN rule IS NOT NULL OR val = surf THEN 'POS' WHEN ans THEN 'POS' WHEN NOT ans THEN 'NEG' END AS event FROM asked),
+    lock AS (SELECT *, first_value(event IGNORE NULLS) OVER (PARTITION BY forum_url, surf ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS locked FROM ev),
+    res AS (SELECT * FROM (SELECT *, CASE WHEN rule IS NOT NULL OR locked IS NULL THEN own ELSE locked = 'POS' END AS is_valid FROM lock) WHERE is_valid IS NOT NULL)"""
+
+
+_TABLE = _cascade("coalesce(is_form, false)")
+_LABELLED = rf"""{_TABLE},
+    lab AS (SELECT *, concat_ws('|', surface, canonical, CASE WHEN specificity IN ('VARIANT', 'MOSTLY_USED') THEN value ELSE '-' END, "start", "end") AS label,
+                   row_number() OVER (PARTITION BY topic_seq, sent_seq, is_valid ORDER BY entry_seq, value_seq, occ_seq) - 1 AS nth FROM res),
+    lists AS (SELECT topic_seq, forum_url, sent_seq, text, coalesce(string_agg(label, ';' ORDER BY nth) FILTER (WHERE is_valid), '') AS valid, coalesce(string_agg(label, ';' ORDER BY nth) FILTER (WHERE NOT is_valid), '') AS invalid,
+                     count(*) FILTER (WHERE is_valid) AS n_valid, count(*) FILTER (WHERE NOT is_valid) AS n_invalid FROM lab GROUP BY ALL),
+    win AS (SELECT l.*, string_split(l.text, ' ') AS w, CASE WHEN "start" <= 0 THEN 0 ELSE greatest(len(string_split(rtrim(left(l.text, "start")), ' ')) - 1, 0) END AS wi
+            FROM lab l JOIN lists USING (topic_seq, sent_seq) WHERE is_valid AND length(l.text) > {MAX_CONTEXT}),
+    labelled AS (SELECT topic_seq, forum_url, CAST(topic_seq AS VARCHAR) AS topic_url, sent_seq, 0 AS part, text, valid, invalid, n_valid, n_invalid FROM lists WHERE length(text) <= {MAX_CONTEXT} OR n_valid = 0
+                 UNION ALL SELECT topic_seq, forum_url, topic_seq || '(context)', sent_seq, nth, array_to_string(w[greatest(wi - 5, 0) + 1:least(len(w), wi + 6)], ' '), label, '', 1, 0 FROM win
+                 WHERE length(array_to_string(w[greatest(wi - 5, 0) + 1:least(len(w), wi + 6)], ' ')) >= {MIN})"""
+_V = "topic_seq, sent_seq, entry_seq, value_seq, occ_seq, surface, value, is_valid"
+_RANKED = f"{_LABELLED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY forum_url ORDER BY topic_seq, sent_seq, part) AS n FROM labelled)"
+_COUNTS = "SELECT 'dictionary' AS kind, value, count(*) AS found FROM res WHERE is_valid GROUP BY ALL UNION ALL SELECT 'text', surface, count(*) FROM res WHERE is_valid GROUP BY ALL"
+_TURNS = "WITH t AS (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[^ -~]', '', 'g') AS text FROM conversations), p AS (SELECT a.conv_id, a.turn, a.text, b.text AS other FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"
+_URL = "url || '&t=' || page_id || '&start=25&sid=abc#p1'"
+_CHARS = r"list_distinct(list_filter(string_split(lower(regexp_replace({0}, '\s', '', 'g')), ''), lambda c: c != ''))"
+
+ORACLE_SQL = {
+    "normalize_text": f"SELECT doc_id, {_NORM.format('text')} AS normalized FROM documents",
+    "sentence_split": f"WITH {_SENT} SELECT topic_seq, sent_seq, raw FROM raws WHERE length(raw) >= {MIN}",
+    "sentence_filter": f"WITH {_SENT} SELECT topic_seq, sent_seq, text FROM sents",
+    "language_ratio": "SELECT doc_id, round(length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text), 9) AS ratio, length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text) > 0.75 AS is_target FROM documents WHERE text != ''",
+    "topic_diagnostics": f"""WITH {_SENT}, h AS (SELECT *, EXISTS (SELECT 1 FROM dict WHERE contains(lower(tested.text), lower(value))) AS has FROM tested WHERE raw != '' OR sent_seq = 0)
+        SELECT topic_seq, count(*) FILTER (WHERE short) AS short, count(*) FILTER (WHERE NOT short AND text != '' AND NOT target) AS "foreign", count(*) FILTER (WHERE NOT short AND text != '' AND target AND NOT has) AS no_candidate,
+               count(*) FILTER (WHERE NOT short AND text != '' AND target AND has) AS with_candidate FROM h GROUP BY topic_seq""",
+    "dictionary_values": f"WITH {_SENT} SELECT entry_seq, value_seq, uid, canonical, value, specificity, rule FROM dict",
+    "candidates": f'WITH {_CAND} SELECT topic_seq, sent_seq, entry_seq, value_seq, occ_seq, canonical, value, surface, "start", "end" FROM cand',
+    "has_candidate": f"WITH {_SENT} SELECT topic_seq, sent_seq FROM sents s WHERE EXISTS (SELECT 1 FROM dict WHERE contains(lower(s.text), lower(value)))",
+    "cascade_without_judge": f"WITH {_cascade('CAST(NULL AS BOOLEAN)')} SELECT {_V} FROM res",
+    "cascade_table_judge": f"WITH {_TABLE} SELECT {_V} FROM res",
+    "dual_case_sensitive": f"WITH {_TABLE} SELECT {_V} FROM res WHERE rule IS NOT NULL",
+    "labelled_sentences": f"WITH {_LABELLED} SELECT topic_seq, topic_url, sent_seq, part, text, valid, invalid FROM labelled",
+    "context_windows": f"WITH {_LABELLED} SELECT topic_seq, sent_seq, part, text FROM labelled WHERE topic_url LIKE '%(context)'",
+    "split_records": f"""WITH {_LABELLED} SELECT 'valid' AS file, topic_url AS "topicUrl", text, n_valid AS n_labels FROM labelled WHERE n_valid > 0
+        UNION ALL SELECT 'invalid', topic_url, text, n_invalid FROM labelled WHERE n_invalid > 0""",
+    "dictionary_counters": f"WITH {_TABLE} SELECT value, count(*) AS found, min(topic_seq) AS first_topic FROM res WHERE is_valid GROUP BY value",
+    "surface_counters": f"WITH {_TABLE} SELECT surface AS value, count(*) AS found FROM res WHERE is_valid GROUP BY surface",
+    "counter_totals": f"WITH {_TABLE} SELECT kind, CAST(sum(found) AS BIGINT) AS total FROM ({_COUNTS}) GROUP BY kind",
+    "merged_counters": f"WITH {_TABLE} SELECT kind, value, 2 * found AS found FROM ({_COUNTS})",
+    "seen_terms": f"""WITH {_TABLE} SELECT DISTINCT surf AS value FROM (SELECT surf, rule, surface, value, first_value(event IGNORE NULLS) OVER (PARTITION BY forum_url, surf ORDER BY topic_seq, sent_seq, entry_seq, value_seq, occ_seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM ev)
+        WHERE (rule IS NOT NULL AND NOT (length(surface) = length(value) AND surface != value)) OR (rule IS NULL AND f = 'POS')""",
+    "labelling_totals": f"WITH {_LABELLED} SELECT count(DISTINCT topic_seq) AS topics, count(*) AS sentences, CAST(sum(n_valid + n_invalid) AS BIGINT) AS labels FROM labelled",
+    "summary": f"WITH {_LABELLED} SELECT (SELECT count(*) FROM labelled) AS sentences, (SELECT string_agg(DISTINCT canonical, ',' ORDER BY canonical) FROM res) AS labels",
+    "first_sentences": f"WITH {_RANKED} SELECT forum_url, topic_seq, sent_seq, part FROM ranked WHERE n <= {LIMIT}",
+    "limited_counters": f"""WITH {_RANKED}, last AS (SELECT forum_url, max(topic_seq) AS topic FROM ranked WHERE n = {LIMIT} + 1 GROUP BY forum_url)
+        SELECT value, count(*) AS found FROM res LEFT JOIN last USING (forum_url) WHERE is_valid AND (topic IS NULL OR topic_seq <= topic) GROUP BY value""",
+    "deny_judge": f"WITH {_cascade('false')} SELECT value, count(*) FILTER (WHERE is_valid) AS valid, count(*) FILTER (WHERE NOT is_valid) AS invalid FROM res GROUP BY value",
+    "skip_done_topics": "SELECT doc_id AS topic_seq, source AS forum_url FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "topic_urls": rf"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace({_URL}, '&start=\d+', '', 'g'), '&sid=[^&]+', '', 'g'), '#.*$', '') AS canonical,
+        coalesce(list_filter(regexp_split_to_array({_URL}, '[?&]'), lambda x: starts_with(x, 't='))[1][3:], '') AS topic_id, 'https://forum.example/' || url AS absolute FROM pages""",
+    "levenshtein_pairs": f"{_TURNS} SELECT conv_id, turn, round(s, 9) AS similarity, s >= 0.8 AS duplicate FROM (SELECT *, CASE WHEN greatest(length(text), length(other)) = 0 THEN 1.0 ELSE 1 - levenshtein(text, other) / greatest(length(text), length(other)) END AS s FROM p)",
+    "jaccard_pairs": rf"""{_TURNS}, c AS (SELECT conv_id, turn, {_CHARS.format("text")} AS x, {_CHARS.format("other")} AS y FROM p),
+        m AS (SELECT conv_id, turn, list_distinct(list_concat(x, CASE WHEN len(x) >= 2 THEN ['[', ']', ',', ' '] ELSE ['[', ']'] END)) AS x, list_distinct(list_concat(y, CASE WHEN len(y) >= 2 THEN ['[', ']', ',', ' '] ELSE ['[', ']'] END)) AS y FROM c)
+        SELECT conv_id, turn, round(len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))), 9) AS similarity FROM m""",
+    "event_windows": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL",
+}
