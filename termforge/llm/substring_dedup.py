@@ -404,7 +404,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
 
     # The lists grow with the text, so the texts meet them by a shuffle at every size.
     sent = texts.select("sid", "text").mapInArrow(partial(_send_anchors, length=length, gram=gram, parts=parts), PART).repartition(parts, "part")
-    shared = by_document(sent.mapInArrow(partial(_shared_anchors, parts=parts), "part int, sid binary, x binary"), "int32", 1)
+    shared = materialize(by_document(sent.mapInArrow(partial(_shared_anchors, parts=parts), "part int, sid binary, x binary"), "int32", 1), "shared")
     around = texts.join(shared.hint("merge"), "sid").select("sid", "text", "x")
     around = around.mapInArrow(partial(_send_contexts, length=length, gram=gram, parts=parts), PART).repartition(parts, "part")
     spans = by_document(around.mapInArrow(partial(_repeated, length=length, gram=gram, parts=parts), "part int, sid binary, x binary"), "int32", 2)
