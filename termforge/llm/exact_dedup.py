@@ -1,8 +1,9 @@
 """Exact deduplication by content sort.
 
-Texts are normalised (each run of ``[\\x20\\x09-\\x0D]`` becomes one space) and range-partitioned on (bytes, id) with sampled
-splitters, so a text that a third of all rows share is cut over several partitions. Spark's external sort puts equals
-next to each other; one pass compares every text with its neighbour in full. Only the first and last run of a partition can
+Texts are normalised (each run of ``[\\x20\\x09-\\x0D]`` becomes one space) and range-partitioned with sampled splitters on
+their first bytes, then the digest of all bytes, then the id: keys of bounded size, so the sample stays small on the
+driver, and a text that a third of all rows share is cut over several partitions. Spark's external sort by the same
+keys puts equals next to each other; one pass compares every text with its neighbour in full. Only the first and last run of a partition can
 go on elsewhere: these, two texts a partition, are compared in full across partitions and their counts joined.
 
 Null text counts as empty. A null doc_id sorts last. Of rows with the same doc_id and equal text one stays. An empty table
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 from termforge.llm.common import NULL_ID, keyed_join, materialize, partitions, with_sid
 
+#: Leading bytes in the sort key.
+PREFIX = 32
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -81,7 +84,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = with_sid(docs, normalized().cast("binary").alias("norm")).select("sid", "norm", F.sha2("norm", 256).alias("sha"))
     parts = partitions(spark)
-    ordered = rows.repartitionByRange(parts, "norm", "sid").sortWithinPartitions("norm", "sid")
+    keys = ("head", "sha", "sid")
+    ordered = rows.withColumn("head", F.substring("norm", 1, PREFIX)).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     found = materialize(ordered.mapInArrow(_runs, "part int, side int, sid long, first boolean, keep long, size long, sha string, border binary"), "runs")
     # Two rows a partition at most: the runs that may go on in a neighbour.
     edges = found.where("border is not null").select("part", "side", "keep", "size", "border")
