@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termforge.llm import decontam, exact_dedup, language_id, lm_score, near_dedup, packing, pii, substring_dedup, token_rollup, url_filter
-from termforge.llm.common import shared_dir
+from termforge.llm.common import materialize, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +27,15 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; those labelled toxic go; those of low quality are counted anew by the next tokenizer version."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     store = token_rollup.RollupStore(spark, f"{shared_dir(spark)}/rollup-{uuid4().hex}")
-    toxic = docs.join(labels.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    revised = docs.join(labels.where("quality = 0 and toxic = 0").select("doc_id"), "doc_id", "left_semi")
+    toxic, low = labels.where("toxic = 1").select("doc_id"), labels.where("quality = 0 and toxic = 0").select("doc_id")
+    # Each text is counted once by each tokenizer; the batches join these small rows.
+    names = ("words-1", "wordpunct-1")
+    counts = materialize(token_rollup.counted(docs, names[0]).unionByName(token_rollup.counted(docs, names[1])), "token_counts")
+    first, second = (counts.where(F.col("tokenizer") == t) for t in names)
     batches = {
-        "1-insert": token_rollup.signed(token_rollup.counted(docs, "words-1"), 1),
-        "2-delete": token_rollup.signed(token_rollup.counted(toxic, "words-1"), -1),
-        "3-revise": token_rollup.revision(token_rollup.counted(revised, "words-1"), token_rollup.counted(revised, "wordpunct-1")),
+        "1-insert": token_rollup.signed(first, 1),
+        "2-delete": token_rollup.signed(first.join(toxic, "doc_id", "left_semi"), -1),
+        "3-revise": token_rollup.revision(first.join(low, "doc_id", "left_semi"), second.join(low, "doc_id", "left_semi")),
     }
     for name, rows in [*batches.items(), ("2-delete", batches["2-delete"])]:  # the last is a repeat and adds nothing
         store.commit(name, rows)

@@ -40,15 +40,15 @@ def _bpe_counts(batches, folder):
 
 
 def counted(docs: DataFrame, tokenizer: str, tokenizers: str | None = None) -> DataFrame:
-    """source, lang, tokenizer, n_docs, n_tokens, n_bytes of each document."""
+    """doc_id, source, lang, tokenizer, n_docs, n_tokens, n_bytes of each document; join on this, not on the texts."""
     text = F.coalesce("text", F.lit(""))
-    base = docs.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(1).cast("long").alias("n_docs"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    base = docs.select("doc_id", "source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(1).cast("long").alias("n_docs"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     if tokenizer in PATTERNS:
-        return base.select(*KEYS, "n_docs", F.regexp_count("text", F.lit(PATTERNS[tokenizer])).cast("long").alias("n_tokens"), "n_bytes")
+        return base.select("doc_id", *KEYS, "n_docs", F.regexp_count("text", F.lit(PATTERNS[tokenizer])).cast("long").alias("n_tokens"), "n_bytes")
     if tokenizer != BPE:
         raise ValueError(f"unknown tokenizer {tokenizer}")
-    kind = "source string, lang string, tokenizer string, n_docs long, n_bytes long, n_tokens long"
-    return base.mapInArrow(partial(_bpe_counts, folder=tokenizers), kind).select(*KEYS, *SUMS)
+    kind = "doc_id long, source string, lang string, tokenizer string, n_docs long, n_bytes long, n_tokens long"
+    return base.mapInArrow(partial(_bpe_counts, folder=tokenizers), kind).select("doc_id", *KEYS, *SUMS)
 
 
 def signed(rows: DataFrame, sign: int) -> DataFrame:
