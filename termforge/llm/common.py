@@ -71,6 +71,14 @@ def keyed_join(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int, r
     return big.join(F.broadcast(small) if rows * row_bytes <= BROADCAST_BYTES else small.hint("merge"), on, how)
 
 
+def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, its session handing Python at most ``rows`` rows at a time where it is left at Spark's 10,000: texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) == 10_000:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def partitions(spark: SparkSession, rows: int = 0, per: int = 1_000_000) -> int:
     """Shuffle partitions: the session's number, and more where ``rows`` would exceed ``per`` a partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per), 1)

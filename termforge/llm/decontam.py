@@ -19,7 +19,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import ALNUM, chunks, span_hashes, word_spans
+from termforge.llm.common import ALNUM, bounded_batches, chunks, span_hashes, word_spans
 
 WINDOW, BLOCK_BYTES = 10, 8 << 20
 
@@ -138,6 +138,7 @@ def _block_index(docs: DataFrame, block: list[tuple], window: int):
 
 def _pass(docs: DataFrame, block: list[tuple], window: int) -> DataFrame:
     """The hits of one block of items in all documents, as word spans and items."""
+    docs = bounded_batches(docs)
     kind = "doc_id long, text_key long, n_words long, spans array<struct<a:int,b:int>>, items array<long>"
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(partial(_hits, index=_block_index(docs, block, window), window=window), kind)
 
@@ -154,6 +155,7 @@ def _keep_clean(batches, index, window):
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, without a hit; each block of items filters what the one before left."""
+    docs = bounded_batches(docs)
     out = docs
     for block in _blocks(benchmark, block_bytes):
         out = out.mapInArrow(partial(_keep_clean, index=_block_index(docs, block, window), window=window), docs.schema)

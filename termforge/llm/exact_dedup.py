@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import NULL_ID, keyed_join, materialize, partitions, with_sid
+from termforge.llm.common import NULL_ID, bounded_batches, keyed_join, materialize, partitions, with_sid
 
 #: Leading bytes in the sort key.
 PREFIX = 32
@@ -81,6 +81,7 @@ def _runs(batches):
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 of the normalised text."""
+    docs = bounded_batches(docs)
     spark = docs.sparkSession
     rows = with_sid(docs, normalized().cast("binary").alias("norm")).select("sid", "norm", F.sha2("norm", 256).alias("sha"))
     parts = partitions(spark)

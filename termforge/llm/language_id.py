@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termforge.llm.common import chunks
+from termforge.llm.common import bounded_batches, chunks
 
 GRAMS, PROFILE, RANKED, UNKNOWN = 3, 600, 300, "und"
 FOLDS, HELD_OUT = 4, 2
@@ -89,6 +89,7 @@ def _count(batches, longest):
 
 def language_profiles(docs: DataFrame, longest: int = GRAMS, size: int = PROFILE) -> dict[str, list[int]]:
     """The ``size`` most frequent n-grams of each language, most frequent first; ties by code."""
+    docs = bounded_batches(docs)
     counts = docs.where("lang is not null and text is not null").select("lang", "text").mapInArrow(partial(_count, longest=longest), "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -140,6 +141,7 @@ def _predict(batches, profiles, longest, ranked):
 
 def identify_languages(docs: DataFrame, profiles: dict[str, list[int]], longest: int = GRAMS, ranked: int = RANKED) -> DataFrame:
     """doc_id, lang_pred, score (1 minus the share of the greatest possible distance) of every document."""
+    docs = bounded_batches(docs)
     return docs.select("doc_id", "text").mapInArrow(partial(_predict, profiles=profiles, longest=longest, ranked=ranked), "doc_id long, lang_pred string, score double")
 
 

@@ -21,7 +21,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import WHITE, chunks, materialize, mix, span_hashes, word_spans
+from termforge.llm.common import WHITE, bounded_batches, chunks, materialize, mix, span_hashes, word_spans
 from termforge.llm.language_id import fold
 
 FOLDS, HELD_OUT = 5, 1
@@ -375,6 +375,7 @@ def train(docs: DataFrame, parts: int, rate: float = RATE) -> tuple[Model, int,
 
 def score_documents(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    docs = bounded_batches(docs)
     import math
 
     held_out = fold(F.col("doc_id"), FOLDS) == HELD_OUT

@@ -25,7 +25,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import NULL_ID, WHITE, chunks, keyed_join, materialize, mix, partitions, span_hashes, with_sid, word_spans
+from termforge.llm.common import NULL_ID, WHITE, bounded_batches, chunks, keyed_join, materialize, mix, partitions, span_hashes, with_sid, word_spans
 from termforge.llm.components import connected_components
 
 WORDS, BANDS, ROWS, NUMERATOR = 5, 48, 5, 75
@@ -197,6 +197,7 @@ def _blocks(batches, numerator):
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, numerator: int = NUMERATOR) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= numerator * union."""
+    docs = bounded_batches(docs)
     spark = docs.sparkSession
     signed = with_sid(docs, "text").mapInArrow(partial(_signatures, words=words, bands=bands, rows=rows), "doc_id long, sid long, n long, digest binary, bands array<long>")
     signed = materialize(signed, "signatures")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termforge.llm.common import materialize, partitions
+from termforge.llm.common import bounded_batches, materialize, partitions
 
 MAX_TOKENS, END_ID = 2048, 0
 #: Nodes of the completion search for each filling, and fillings compared at each branch.
@@ -82,6 +82,7 @@ def _pieces(batches, limit, folder):
 
 def token_pieces(docs: DataFrame, limit: int = MAX_TOKENS, tokenizers: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32; only documents over ``limit`` are cut, the first piece takes the remainder."""
+    docs = bounded_batches(docs)
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return docs.select("doc_id", "text").mapInArrow(partial(_pieces, limit=limit, folder=tokenizers), kind)
 

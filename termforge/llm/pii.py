@@ -20,7 +20,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import BROADCAST_BYTES, WHITE, chunks, materialize, span_hashes, word_spans
+from termforge.llm.common import BROADCAST_BYTES, WHITE, bounded_batches, chunks, materialize, span_hashes, word_spans
 from termforge.llm.substring_dedup import merge_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -207,6 +207,7 @@ def document_counts(docs: DataFrame, terms: DataFrame, block_bytes: int = BROADC
 
 def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (``kind:start:end`` joined), and the spans of terms."""
+    docs = bounded_batches(docs)
     kind = "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:long,term:long,a:int,b:int>>"
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     base = materialize(keyed.mapInArrow(partial(_base, reach=reach), kind), "base")

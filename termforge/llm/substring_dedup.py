@@ -24,7 +24,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import BYTE_CODE, chunks, keyed_join, materialize, mix, partitions, powers, span_hashes, text_buffers, with_sid
+from termforge.llm.common import BYTE_CODE, bounded_batches, chunks, keyed_join, materialize, mix, partitions, powers, span_hashes, text_buffers, with_sid
 
 LENGTH, GRAM = 50, 24
 #: Text, or gathered surroundings, that a task combines before it sends them on; text for each part of the anchors.
@@ -386,6 +386,7 @@ def _removed(batches):
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and ``removed``: int32 pairs of byte positions (null: none or all)."""
+    docs = bounded_batches(docs)
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     rows = with_sid(docs, text.cast("binary").alias("text"), F.xxhash64(text).alias("row"))
