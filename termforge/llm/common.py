@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 NULL_ID = 9223372036854775807
 #: A side of a join is broadcast only if its counted rows times its row bytes stay within this; beyond it the join shuffles.
 BROADCAST_BYTES = 16 << 20
+#: Keys that hold more than one row in HOT of a table are joined by broadcast: at most HOT rows of fixed width.
+HOT = 10_000
 #: Text bytes handled at once by the vectorised functions; one longer document is handled alone.
 CHUNK_BYTES = 1 << 20
 
@@ -71,6 +73,16 @@ def keyed_join(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int, r
     return big.join(F.broadcast(small) if rows * row_bytes <= BROADCAST_BYTES else small.hint("merge"), on, how)
 
 
+def hot_join(big: DataFrame, small: DataFrame, key: str, times: str, total: int, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small``, one row a key, of which ``times`` counts the rows in ``big`` and ``total`` all of them.
+
+    Keys with more than a HOT-th of all rows, of which there can be no more than HOT, are broadcast; the rest shuffle.
+    """
+    hot = F.broadcast(small.where(F.col(times) * HOT > total).drop(times))
+    rest = big.join(hot.select(key), key, "left_anti").join(small.drop(times), key, how)
+    return big.join(hot, key).unionByName(rest)
+
+
 def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """``df``, its session handing Python at most ``rows`` rows at a time where it is left at Spark's 10,000: texts are long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

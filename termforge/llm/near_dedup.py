@@ -5,11 +5,13 @@ circularly by k, is minimised for coordinate k. Bands of ROWS coordinates select
 the full sets of 64-bit shingle hashes. At a Jaccard similarity of exactly 0.75 a pair shares no band with probability
 (1 - 0.75**ROWS)**BANDS, about 2e-6; above it less.
 
-No step emits all pairs of a group. Documents with equal sets become one class before banding. A document's weight is the
+No step emits all pairs of a large group. Documents with equal sets become one class before banding. A document's weight is the
 size of its buckets together, so the original of a group of near copies outweighs its variants; a bucket's head is its
 heaviest member, and a document's hub the heaviest head of its buckets. Every document is compared with its hub. Those
 that do not link are compared with all of their hub's other documents, in blocks of bounded size, where only links leave
-the block, one for each component they join. What is left are pairs of one bucket with different hubs and components.
+the block, one for each two components they join. What is left are pairs of one bucket with different hubs and components:
+in buckets of up to BLOCK documents they are joined, larger buckets go through blocks too. Groups are cut by set size before they are dealt into
+blocks, and within a block rare shingles (the prefix that a link must share) select what is compared in full.
 Pairs whose set sizes cannot reach the threshold are left out. Buckets are range-partitioned on (band hash, id), so a hot
 bucket is cut over several partitions; its head is found by a partial aggregate over all of them.
 
@@ -25,14 +27,14 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import NULL_ID, WHITE, bounded_batches, chunks, keyed_join, materialize, mix, partitions, span_hashes, with_sid, word_spans
+from termforge.llm.common import NULL_ID, WHITE, bounded_batches, chunks, hot_join, keyed_join, materialize, mix, partitions, span_hashes, with_sid, word_spans
 from termforge.llm.components import connected_components
 
 WORDS, BANDS, ROWS, NUMERATOR = 5, 48, 5, 75
 #: Sets this small reach the threshold only with an equal set.
 ALONE = 2
-#: Documents in a block of the comparisons within one hub.
-BLOCK = 1000
+#: Documents in a block of the comparisons within one hub or one bucket.
+BLOCK = 500
 
 
 def shingle_sets(column, words: int = WORDS):
@@ -118,7 +120,8 @@ def _sets(batches, words):
         sets = list(shingle_sets(batch.column("text"), words))
         lengths = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], ["id", "items"])
+        n = pa.array(np.diff(lengths).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("sid"), n, pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], ["id", "n", "items"])
 
 
 def _buckets(batches):
@@ -142,37 +145,60 @@ def _buckets(batches):
 
 
 def _block_links(probes, members, numerator):
-    """Links of unlinked documents with the members of a block: one for each component that they join."""
+    """Links between the probes and members of a block, rows (id, component, set): one for each two components that they join.
+
+    Each set is ordered by rarity in the block. Two sets that link share an item among the first n - ceil(threshold * n) + 1 of
+    each, so only members that a probe meets there, and that are not joined with it by then, are compared in full.
+    """
     import numpy as np
 
-    ids, linked, sets = (list(x) for x in zip(*members, strict=True))
-    sizes = np.array([len(x) for x in sets])
-    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(known) + 1, np.int64)
+    ids, of, sets = (list(x) for x in zip(*members, strict=True))
+    every = [*sets, *(x for _, _, x in probes)]
+    sizes = np.array([len(x) for x in every])
+    known, flat, often = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    rarity = np.empty(len(known), np.int64)
+    rarity[np.argsort(often, kind="stable")] = np.arange(len(known))
+    owner = np.repeat(np.arange(len(every)), sizes)
+    flat = np.sort(owner * len(known) + rarity[flat]) - owner * len(known)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    prefix = sizes - -(-numerator * sizes // 100) + 1
+    early = np.flatnonzero((np.arange(len(flat)) - starts[owner] < prefix[owner]) & (owner < len(ids)))
+    early = early[np.argsort(flat[early], kind="stable")]
+    item, holder = flat[early], owner[early]
+    mark = np.zeros(len(known), bool)
     parent: dict = {}
 
     def root(x):
         while parent.setdefault(x, x) != x:
-            x = parent[x]
+            parent[x] = x = parent[parent[x]]
         return x
 
-    for probe, _, items in probes:
-        at = np.minimum(np.searchsorted(known, items), len(known) - 1)
-        at = at[known[at] == items]
-        mark[at] = 1
-        both = np.add.reduceat(mark[flat], offsets)
-        mark[at] = 0
-        for k in np.flatnonzero(100 * both >= numerator * (len(items) + sizes - both)).tolist():
-            if ids[k] != probe:
-                a, b = root(probe), root(None if linked[k] else ids[k])  # None: the hub's component
-                if a != b:
+    for p, (probe, own, _) in enumerate(probes, len(ids)):
+        mine = flat[starts[p] : ends[p]]
+        head = mine[: prefix[p]]
+        low, high = np.searchsorted(item, head), np.searchsorted(item, head, "right")
+        met = [holder[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True) if i < j]
+        if not met:
+            continue
+        met = np.unique(np.concatenate(met))
+        met = met[100 * np.minimum(sizes[met], len(mine)) >= numerator * np.maximum(sizes[met], len(mine))]
+        mark[mine] = True
+        for k in met.tolist():
+            a, b = root(own), root(of[k])
+            if a != b:
+                both = int(np.count_nonzero(mark[flat[starts[k] : ends[k]]]))
+                if 100 * both >= numerator * (len(mine) + int(sizes[k]) - both):
                     parent[a] = b
                     yield probe, ids[k]
+        mark[mine] = False
+
+
+BLOCK_KEY = ("key", "stratum", "other", "ublock", "mblock")
 
 
 def _blocks(batches, numerator):
-    """Links within each (hub, ublock, mblock) of one sorted partition."""
+    """Links within each block (BLOCK_KEY) of one sorted partition."""
     import pyarrow as pa
 
     key, probes, members, out = None, [], [], []
@@ -186,72 +212,110 @@ def _blocks(batches, numerator):
     for batch in batches:
         items = batch.column("items")
         at, flat = items.offsets.to_numpy(), items.values.to_numpy()
-        for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "ublock", "mblock", "probe", "id", "linked")), strict=True)):
-            if row[:3] != key:
+        for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in (*BLOCK_KEY, "probe", "id", "c")), strict=True)):
+            if row[:5] != key:
                 done()
-                key = row[:3]
-            (probes if row[3] else members).append((row[4], row[5], flat[at[i] : at[i + 1]].copy()))
+                key = row[:5]
+            (probes if row[5] else members).append((row[6], row[7], flat[at[i] : at[i + 1]].copy()))
     done()
     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, numerator: int = NUMERATOR) -> DataFrame:
+def within_groups(rows: DataFrame, sets: DataFrame, numerator: int, block: int) -> DataFrame:
+    """Links (a, b) of the probes of each group with all of its members that their component ``c`` does not join yet.
+
+    ``rows``: (key, id, n, c, probe), a written table. A group is cut by set size into strata, each a factor
+    100 / numerator wide, so that sets that link lie in one stratum or in neighbours; strata are dealt into blocks.
+    """
+    total = rows.count()
+    rows = rows.withColumn("s", F.floor(F.log("n") / F.log(F.lit(100.0 / numerator)) + 1e-9).cast("int")) if numerator < 100 else rows.withColumn("s", F.col("n").cast("int"))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    sizes = rows.groupBy("key", "s").agg(blocks(F.count("*")).alias("gm"), blocks(F.count_if("probe")).alias("gu"), F.count("*").alias("times"))
+    # What each stratum meets: itself and its neighbours, as an array of at most three.
+    near = sizes.select("key", "gm", "gu", F.col("s").alias("t"), F.explode(F.array(F.col("s") - 1, F.col("s"), F.col("s") + 1)).alias("s"))
+    met = near.groupBy("key", "s").agg(F.collect_list(F.struct("t", "gm", "gu")).alias("met"))
+    sizes = sizes.join(met, ["key", "s"]).withColumn("at", F.struct("key", "s")).select("at", "gm", "gu", "met", "times")
+    split = hot_join(rows.withColumn("at", F.struct("key", "s")), sizes, "at", "times", total)
+    split = split.select("*", F.explode("met").alias("m")).drop("met")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), c - 1))
+    deal = lambda c: F.pmod(F.xxhash64("id"), c).cast("int")
+    t = F.col("m.t")
+    members = split.where("m.gu > 0").select("key", t.alias("stratum"), F.col("s").alias("other"), upto(F.col("m.gu")).alias("ublock"), deal(F.col("gm")).alias("mblock"), F.lit(False).alias("probe"), "id", "n", "c")
+    probes = split.where("probe").select("key", F.col("s").alias("stratum"), t.alias("other"), deal(F.col("gu")).alias("ublock"), upto(F.col("m.gm")).alias("mblock"), F.lit(True).alias("probe"), "id", "n", "c")
+    dealt = members.union(probes).join(sets, ["id", "n"]).repartition(partitions(rows.sparkSession), *BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    return materialize(dealt.mapInArrow(partial(_blocks, numerator=numerator), "a long, b long"), "linked")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, numerator: int = NUMERATOR, block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= numerator * union."""
     docs = bounded_batches(docs)
     spark = docs.sparkSession
     signed = with_sid(docs, "text").mapInArrow(partial(_signatures, words=words, bands=bands, rows=rows), "doc_id long, sid long, n long, digest binary, bands array<long>")
     signed = materialize(signed, "signatures")
-    classes = materialize(signed.where("n > 0").groupBy("digest").agg(F.min("sid").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    member = signed.select("doc_id", "sid", "n", "digest").join(classes.select("digest", "rep"), "digest", "left").select("doc_id", "n", F.coalesce("rep", "sid").alias("rep"))
+    classes = materialize(signed.where("n > 0").groupBy("digest").agg(F.min("sid").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("times")), "classes")
+    total, sets_of = classes.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count("*")).first()
+    member = hot_join(signed.select("doc_id", "sid", "n", "digest"), classes.select("digest", "rep", "times"), "digest", "times", total, "left").select("doc_id", "n", F.coalesce("rep", "sid").alias("rep"))
 
     # A rep that several sets share (rows with the same doc_id) is banded under each of them.
     exploded = classes.where(F.col("n") > ALONE).select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
-    parts = partitions(spark, classes.count() * bands)
+    parts = partitions(spark, sets_of * bands)
     stars = exploded.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
     stars = materialize(stars.mapInArrow(_buckets, "key long, id long, n long, size long"), "buckets")
     near = lambda a, b: 100 * F.least(a, b) >= numerator * F.greatest(a, b)
 
     weights = stars.groupBy("id").agg(F.sum("size").alias("weight"))
     weighed = materialize(stars.select("key", "id", "n").join(weights, "id"), "weighed")
-    heads = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("head"))
-    family = weighed.join(heads, "key").groupBy("id").agg(F.max("head").alias("head")).select("id", (-F.col("head.id")).alias("hub"))
+    in_buckets = weighed.count()
+    heads = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("head"), F.count("*").alias("times"))
+    heads = materialize(heads, "heads")
+    family = hot_join(weighed, heads, "key", "times", in_buckets).groupBy("id").agg(F.max("head").alias("head")).select("id", (-F.col("head.id")).alias("hub"))
     family = materialize(family, "hubs")
 
     sets = keyed_join(with_sid(docs, "text").select("sid", "text"), family.select(F.col("id").alias("sid")), "sid", "left_semi", 16)
-    sets = materialize(sets.mapInArrow(partial(_sets, words=words), "id long, items array<long>"), "sets")
+    sets = materialize(sets.mapInArrow(partial(_sets, words=words), "id long, n long, items array<long>"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
+        """Pairs that link. A node of many pairs ``a`` has its set sent once for each ``block`` of them."""
+        pairs = materialize(pairs, "candidates")
+        counts = pairs.groupBy("a").agg(F.count("*").alias("times")).withColumn("copies", F.ceil(F.col("times") / block).cast("int"))
+        counts = materialize(counts, "counts")
+        dealt = hot_join(pairs, counts, "a", "times", pairs.count()).withColumn("deal", F.pmod(F.xxhash64("b"), "copies").cast("int"))
+        left = sets.select(F.col("id").alias("a"), F.col("items").alias("x")).join(counts, "a").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
         right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
-        return materialize(pairs.join(left, "a").join(right, "b").where(100 * both >= numerator * (F.size("x") + F.size("y") - both)).select("a", "b"), "linked")
+        met = dealt.select("a", "b", "deal").join(left.select("a", "deal", "x"), ["a", "deal"]).join(right, "b")
+        return materialize(met.where(100 * both >= numerator * (F.size("x") + F.size("y") - both)).select("a", "b"), "linked")
 
     # 1: each document with its hub.
     edges = verified(family.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
     family = family.join(edges.select(F.col("a").alias("hub"), F.col("b").alias("id"), F.lit(True).alias("hit")).distinct(), ["hub", "id"], "left")
-    family = materialize(family.select("id", "hub", (F.coalesce("hit", F.lit(False)) | (F.col("id") == F.col("hub"))).alias("linked")), "family")
+    linked = F.coalesce("hit", F.lit(False)) | (F.col("id") == F.col("hub"))
+    family = family.select("id", "hub", linked.alias("linked")).join(sets.select("id", "n").distinct(), "id")
+    family = materialize(family.select(F.col("hub").alias("key"), "id", "n", F.when(F.col("linked"), F.col("hub")).otherwise(F.col("id")).alias("c"), (~F.col("linked")).alias("probe")), "family")
 
     # 2: those not linked with all others of their hub, in blocks.
-    sizes = family.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("gm"), F.ceil(F.count_if(~F.col("linked")) / BLOCK).cast("int").alias("gu"))
-    split = family.join(sizes.where("gu > 0"), "hub")
-    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    deal = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
-    members = split.select("hub", upto("gu").alias("ublock"), deal("gm").alias("mblock"), F.lit(False).alias("probe"), "id", "linked")
-    probes = split.where("not linked").select("hub", deal("gu").alias("ublock"), upto("gm").alias("mblock"), F.lit(True).alias("probe"), "id", "linked")
-    dealt = members.union(probes).join(sets, "id").repartition(partitions(spark), "hub", "ublock", "mblock").sortWithinPartitions("hub", "ublock", "mblock")
-    edges = edges.union(materialize(dealt.mapInArrow(partial(_blocks, numerator=numerator), "a long, b long"), "linked"))
+    edges = edges.union(within_groups(family, sets, numerator, block))
     label = materialize(connected_components(edges), "labels")
 
-    # 3: members of one bucket whose hubs and components differ.
-    inside = weighed.select("key", "id", "n").join(family.select("id", "hub"), "id").join(label.select(F.col("node").alias("id"), "component"), "id", "left")
-    inside = inside.select("key", "id", "n", "hub", F.coalesce("component", "id").alias("c"))
-    mixed = inside.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("hub").alias("h1"), F.max("hub").alias("h2")).where("low != high and h1 != h2").select("key")
-    inside = materialize(inside.join(mixed, "key", "left_semi"), "mixed")
-    x, y = (inside.select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "hub", "c"))) for s in "xy")
+    # 3: members of one bucket whose hubs and components differ: small buckets as pairs, others in blocks.
+    inside = weighed.select("key", "id", "n").join(family.select("id", F.col("key").alias("hub")).distinct(), "id").join(label.select(F.col("node").alias("id"), "component"), "id", "left")
+    inside = materialize(inside.select("key", "id", "n", "hub", F.coalesce("component", "id").alias("c")), "inside")
+    mixed = inside.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("hub").alias("h1"), F.max("hub").alias("h2"), F.count("*").alias("times"))
+    mixed = materialize(mixed.where("low != high and h1 != h2").select("key", (F.col("times") > block).alias("large"), "times"), "mixed")
+    inside = materialize(hot_join(inside, mixed, "key", "times", in_buckets), "mixed_rows")
+    x, y = (inside.where("not large").select("key", *(F.col(c).alias(c + s) for c in ("id", "n", "hub", "c"))) for s in "xy")
     apart = (F.col("idx") < F.col("idy")) & (F.col("cx") != F.col("cy")) & (F.col("hubx") != F.col("huby")) & (F.col("idx") != F.col("huby")) & (F.col("idy") != F.col("hubx"))
     cross = materialize(x.join(y, "key").where(apart & near(F.col("nx"), F.col("ny"))).select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct(), "pairs")
+    more = []
     if not cross.isEmpty():
-        label = materialize(connected_components(edges.union(verified(cross))), "labels")
+        more.append(verified(cross))
+    large = materialize(inside.where("large").select("key", "id", "n", "c", F.lit(True).alias("probe")), "large")
+    if not large.isEmpty():
+        more.append(within_groups(large, sets, numerator, block))
+    for found in more:
+        edges = edges.union(found)
+    if more:
+        label = materialize(connected_components(edges), "labels")
 
     out = member.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
     component = F.coalesce("component", "rep")

@@ -74,6 +74,7 @@ def test_near_duplicates(docs, rows):
             if a and b and 100 * len(a & b) >= 75 * len(a | b) and root(i) != root(j):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
     got = near_dedup.near_duplicates(docs).collect()
+    assert collections.Counter(near_dedup.near_duplicates(docs, block=2).collect()) == collections.Counter(got)
     want = collections.Counter((None if i == LAST else i, len(s), None if root(i) == LAST else root(i), root(i) == i) for i, s in sets)
     # rows without words are alone even if another row has their id
     lone = {(None if i == LAST else i) for i, s in sets if not s}
@@ -84,7 +85,7 @@ def test_near_duplicates(docs, rows):
 def test_blocks_give_the_links_of_each_probe():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 40, 30)) for _ in range(40)]
-    members = [(i, False, s) for i, s in enumerate(sets)]
+    members = [(i, i, s) for i, s in enumerate(sets)]
     links = list(near_dedup._block_links(members, members, 50))
     parent = list(range(40))
 
