@@ -392,8 +392,10 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
     rows = with_sid(docs, text.cast("binary").alias("text"), F.xxhash64(text).alias("row"))
     hashed = rows.select("doc_id", "sid", "row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     hashed = materialize(hashed, "hashed")
-    first = hashed.groupBy("sha").agg(F.min("sid").alias("first"))
-    base = materialize(hashed.join(first, "sha").withColumn("copy", (F.col("sid") > F.col("first")) & (F.col("n_bytes") >= length)), "base")
+    # Joined on the id too: a hot group of copies spreads over all partitions.
+    first = hashed.groupBy("sha").agg(F.min("sid").alias("sid")).withColumn("first", F.lit(True))
+    copy = F.col("first").isNull() & (F.col("n_bytes") >= length)
+    base = materialize(hashed.join(first, ["sha", "sid"], "left").withColumn("copy", copy).drop("first"), "base")
     total, copies = base.agg(F.sum("n_bytes"), F.count_if("copy")).first()
     parts = partitions(spark, total or 0, PART_BYTES)
     texts = rows.select("doc_id", "sid", "row", "text")
@@ -401,13 +403,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
         texts = keyed_join(texts, base.where("copy").select("sid", "row"), ["sid", "row"], "left_anti", 24, copies)
 
     def by_document(df: DataFrame, kind: str, width: int) -> DataFrame:
-        return df.repartition(parts, "part").mapInArrow(partial(_documents, kind=kind, width=width), "sid long, x binary")
+        return df.repartitionById(parts, "part").mapInArrow(partial(_documents, kind=kind, width=width), "sid long, x binary")
 
     # The lists grow with the text, so the texts meet them by a shuffle at every size.
-    sent = texts.select("sid", "text").mapInArrow(partial(_send_anchors, length=length, gram=gram, parts=parts), PART).repartition(parts, "part")
+    sent = texts.select("sid", "text").mapInArrow(partial(_send_anchors, length=length, gram=gram, parts=parts), PART).repartitionById(parts, "part")
     shared = materialize(by_document(sent.mapInArrow(partial(_shared_anchors, parts=parts), "part int, sid binary, x binary"), "int32", 1), "shared")
     around = texts.join(shared.hint("merge"), "sid").select("sid", "text", "x")
-    around = around.mapInArrow(partial(_send_contexts, length=length, gram=gram, parts=parts), PART).repartition(parts, "part")
+    around = around.mapInArrow(partial(_send_contexts, length=length, gram=gram, parts=parts), PART).repartitionById(parts, "part")
     spans = by_document(around.mapInArrow(partial(_repeated, length=length, gram=gram, parts=parts), "part int, sid binary, x binary"), "int32", 2)
     spans = materialize(spans, "spans")
     kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"
