@@ -43,7 +43,8 @@ def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+    found = substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,46 @@ QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_token_rol
 
 _KEPT = "[^\\x20\\x09-\\x0D]+"
 _PUNCT = token_rollup.PATTERNS["wordpunct-1"]
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ORACLE_SQL = {
+    "op1_near_dedup": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_KEPT}') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+                   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+             e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 75 * (na.n + nb.n - shared)),
+             r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+             c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT c.doc_id, coalesce(n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
+    # Windows of 50 bytes as hex digits, read from overlapping pieces of 1000 bytes.
+    "op4_repeated_passages": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+             q AS (SELECT doc_id, k * 1000 AS o, substr(h, k * 2000 + 1, 2098) AS h FROM (SELECT doc_id, h, unnest(range(0, n // 1000 + 1)) AS k FROM d WHERE n >= 50)),
+             s AS (SELECT doc_id, o + i AS i, substr(h, 2 * i + 1, 100) AS g FROM (SELECT doc_id, o, h, unnest(range(0, least(1000, len(h) // 2 - 49))) AS i FROM q)),
+             f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g HAVING min(doc_id) < max(doc_id)),
+             m AS (SELECT doc_id, i, i > 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS new FROM s JOIN f USING (g) WHERE doc_id > first),
+             t AS (SELECT doc_id, i, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m),
+             u AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM t GROUP BY doc_id, run),
+             v AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM u),
+             x AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS spans, max(b) AS last, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept
+                   FROM v JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN x USING (doc_id)""",
+    "op9_decontamination": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') AS w FROM documents),
+             b AS (SELECT item_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') AS w FROM benchmark),
+             k AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS g
+                   FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+             s AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+                   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k) WHERE len(w) >= n)),
+             m AS (SELECT doc_id, item_id, i, s.n FROM s JOIN k USING (n, g)),
+             h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+             t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
     "op3_token_rollup": rf"""
         WITH d AS (SELECT d.*, coalesce(text, '') AS x, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1) AS toxic,
                           EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 0 AND quality = 0) AS low FROM documents d),
