@@ -355,7 +355,7 @@ def train(docs: DataFrame, parts: int, rate: float = RATE) -> tuple[Model, int,
     """The model, all training tokens and the distinct ones, from (text) rows."""
     import numpy as np
 
-    dealt = docs.select("text").mapInArrow(partial(_count, parts=parts), "part int, kind int, sid binary, x binary, y binary, z binary").repartition(parts, "part")
+    dealt = docs.select("text").mapInArrow(partial(_count, parts=parts), "part int, kind int, sid binary, x binary, y binary, z binary").repartitionById(parts, "part")
     most = HEAVY * 4 // parts + 1000
     found = materialize(dealt.select("x", "y").mapInArrow(partial(_totals, most=most), "token long, n long, kinds long"), "counts")
     total, kinds = found.where("token is null").agg(F.sum("n"), F.sum("kinds")).first()
@@ -383,7 +383,7 @@ def score_documents(docs: DataFrame, rate: float = RATE) -> DataFrame:
     parts = max(16, -(-size // PART_BYTES))
     model, total, kinds = train(docs.where(~held_out), parts, rate)
     rows = docs.select("doc_id", "text", held_out.alias("held_out"), F.monotonically_increasing_id().alias("rid"))
-    sent = rows.mapInArrow(partial(_score, model=model, parts=parts), SENT).repartition(parts, "part")
+    sent = rows.mapInArrow(partial(_score, model=model, parts=parts), SENT).repartitionById(parts, "part")
     summed = sent.mapInArrow(_sum_parts, SUMMED).groupBy("rid")
     out = summed.agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.max("n_rare").alias("n_rare"), F.sum("n_known").alias("n_known"), F.sum("known").alias("known"), F.sum("model").alias("model"))
     rare_kinds = kinds - sum(1 for _, n in model.symbols if n)
