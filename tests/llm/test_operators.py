@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from termforge.llm import components, decontam, exact_dedup, language_id, lm_score, near_dedup, packing, pii, substring_dedup, token_rollup, url_filter
+from termforge.llm import common, components, decontam, exact_dedup, language_id, lm_score, near_dedup, packing, pii, substring_dedup, token_rollup, url_filter
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, sid int, n long, rep string"
 
@@ -106,6 +106,16 @@ def test_blocks_give_the_links_of_each_probe():
     assert len({root(i) for i in range(40)}) == want and len(links) < 40
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_hot_join_equals_a_join(spark, monkeypatch, how, hot):
+    monkeypatch.setattr(common, "HOT", hot)
+    big = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 20 + [2, 2, 3, None])], "k long, i long")
+    small = spark.createDataFrame([(1, "a", 20), (2, "b", 2)], "k long, v string, times long")
+    got = common.hot_join(big, small, "k", "times", 24, how)
+    assert sorted(map(str, got.collect())) == sorted(map(str, big.join(small.drop("times"), "k", how).collect()))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (200, 100)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
