@@ -221,8 +221,10 @@ def _places(batches, plan):
 def pack_documents(docs: DataFrame, limit: int = MAX_TOKENS, tokenizers: str | None = None) -> DataFrame:
     """The pieces of ``docs`` with sequence_id and offset; sequences hold ``limit`` tokens at most."""
     spark = docs.sparkSession
-    buckets = partitions(spark)
-    pieces = materialize(token_pieces(docs, limit, tokenizers).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")), "pieces")
+    pieces = materialize(token_pieces(docs, limit, tokenizers), "pieces")
+    # The buckets grow with the pieces, so a length that a third of them share stays some hundred thousand rows a bucket.
+    buckets = partitions(spark, pieces.count())
+    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     by = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     by = materialize(by, "histogram")
     counts = {r.length: r.n for r in by.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # ``limit`` rows at most
@@ -230,7 +232,7 @@ def pack_documents(docs: DataFrame, limit: int = MAX_TOKENS, tokenizers: str | N
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = by.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     own = W.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = pieces.withColumn("own", F.row_number().over(own) - 1).join(starts, ["length", "bucket"])
+    ranked = pieces.withColumn("own", F.row_number().over(own) - 1).join(starts.hint("merge"), ["length", "bucket"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("own")).cast("long").alias("rank"))
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return ranked.mapInArrow(partial(_places, plan=plan), kind)
