@@ -73,7 +73,7 @@ def keyed_join(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int, r
     return big.join(F.broadcast(small) if rows * row_bytes <= BROADCAST_BYTES else small.hint("merge"), on, how)
 
 
-def hot_join(big: DataFrame, small: DataFrame, key: str, times: str, total: int, how: str = "inner") -> DataFrame:
+def hot_join(big: DataFrame, small: DataFrame, key: str | list[str], times: str, total: int, how: str = "inner") -> DataFrame:
     """``big`` joined with ``small``, one row a key, of which ``times`` counts the rows in ``big`` and ``total`` all of them.
 
     Keys with more than a HOT-th of all rows, of which there can be no more than HOT, are broadcast; the rest shuffle.

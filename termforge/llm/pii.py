@@ -20,7 +20,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import BROADCAST_BYTES, WHITE, bounded_batches, chunks, materialize, span_hashes, word_spans
+from termforge.llm.common import BROADCAST_BYTES, WHITE, bounded_batches, chunks, hot_join, materialize, span_hashes, word_spans
 from termforge.llm.substring_dedup import merge_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -211,7 +211,7 @@ def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, d
     kind = "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:long,term:long,a:int,b:int>>"
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     base = materialize(keyed.mapInArrow(partial(_base, reach=reach), kind), "base")
-    total = base.count()
+    total, rows = base.agg(F.count("*"), F.coalesce(F.sum(F.size("near")), F.lit(0))).first()
     near = base.where("size(near) > 0").select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
     # Once a document, then counted: the hot entity of a group of copies is combined per task before the shuffle.
     pairs = near.groupBy("doc_id", "text_key", "entity", "term").agg(F.count("*").alias("times")).groupBy("entity", "term").agg(F.count("*").alias("both"))
@@ -221,8 +221,8 @@ def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, d
     n = F.lit(float(max(total, 1)))
     pmi = F.log(F.col("both") * n / (F.col("with_entity") * F.greatest("df", "both")))
     told = pairs.join(entities, "entity").join(terms, "term").where((F.col("with_entity") < n) & (pmi >= disclosure * F.log(n / F.col("with_entity"))))
-    told = materialize(told.select("entity", "term"), "disclosed")
-    marked = near.join(told, ["entity", "term"], "left_semi").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("terms"))
+    told = materialize(told.select("entity", "term", "both"), "disclosed")
+    marked = hot_join(near, told, ["entity", "term"], "both", rows).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("terms"))
     out = base.alias("l").join(marked.alias("r"), (F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))) & (F.col("l.text_key") == F.col("r.text_key")), "left")
     terms_text = F.array_join(F.transform("r.terms", lambda x: F.concat_ws(":", F.lit("term"), x["a"], x["b"])), ",")
     spans = F.concat_ws(",", F.when(F.col("l.base") != "", F.col("l.base")), terms_text)
