@@ -19,6 +19,8 @@ from termforge.llm.common import NULL_ID, bounded_batches, keyed_join, materiali
 
 #: Leading bytes in the sort key.
 PREFIX = 32
+#: Rows of a partition whose ids and digests a task holds; with more rows there are more partitions.
+PART_ROWS = 500_000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -84,7 +86,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     docs = bounded_batches(docs)
     spark = docs.sparkSession
     rows = with_sid(docs, normalized().cast("binary").alias("norm")).select("sid", "norm", F.sha2("norm", 256).alias("sha"))
-    parts = partitions(spark)
+    parts = partitions(spark, docs.count(), PART_ROWS)
     keys = ("head", "sha", "sid")
     ordered = rows.withColumn("head", F.substring("norm", 1, PREFIX)).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     found = materialize(ordered.mapInArrow(_runs, "part int, side int, sid long, first boolean, keep long, size long, sha string, border binary"), "runs")
