@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import materialize
+from termforge.llm.common import hot_join, materialize
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 DAMPING, ROUNDS, TOLERANCE, THRESHOLD = 0.85, 20, 1e-6, 0.0
@@ -70,9 +70,9 @@ def judge_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, damp
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path")).withColumn("hit", rule_of(F.col("host"), F.col("path"), rules))
     edges = materialize(host_edges(pages), "edges")
     pageful = materialize(
-        judged.where("host != ''").groupBy("host").agg(F.count_if(F.col("hit.verdict") == "allow").alias("good"), F.count_if(F.col("hit.verdict") == "block").alias("bad")), "hosts"
+        judged.where("host != ''").groupBy("host").agg(F.count_if(F.col("hit.verdict") == "allow").alias("good"), F.count_if(F.col("hit.verdict") == "block").alias("bad"), F.count("*").alias("pages")), "hosts"
     )
-    good, bad = pageful.agg(F.sum("good"), F.sum("bad")).first()
+    good, bad, total = pageful.agg(F.sum("good"), F.sum("bad"), F.sum("pages")).first()
 
     def walk(count: str, total, a: str, b: str, name: str) -> DataFrame:
         out = edges.groupBy(a).agg(F.sum("n").alias("all"))
@@ -81,7 +81,9 @@ def judge_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, damp
         return propagate(seeds, materialize(share, "shares"), damping, rounds).withColumnRenamed("score", name)
 
     scores = walk("good", good, "src", "dst", "trust").join(walk("bad", bad, "dst", "src", "distrust"), "host", "full")
-    out = judged.join(scores, "host", "left")
+    # Every host that has pages is in this table, so the pages of a hot one meet it by broadcast; those without a host meet none.
+    known = materialize(pageful.select("host", "pages").join(scores, "host", "left"), "scores")
+    out = hot_join(judged.where("host != ''"), known, "host", "pages", total or 0).unionByName(judged.where("host = ''"), allowMissingColumns=True)
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     return out.select(
         "page_id",

@@ -114,6 +114,21 @@ def test_hot_join_equals_a_join(spark, monkeypatch, how, hot):
     small = spark.createDataFrame([(1, "a", 20), (2, "b", 2)], "k long, v string, times long")
     got = common.hot_join(big, small, "k", "times", 24, how)
     assert sorted(map(str, got.collect())) == sorted(map(str, big.join(small.drop("times"), "k", how).collect()))
+    two = [x.withColumn("k2", x.k + 1) for x in (big, small)]
+    got = common.hot_join(*two, ["k", "k2"], "times", 24, how).select("k", "k2", "i", "v")
+    assert sorted(map(str, got.collect())) == sorted(map(str, two[0].join(two[1].drop("times"), ["k", "k2"], how).select("k", "k2", "i", "v").collect()))
+
+
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_hot_hosts_get_their_scores(spark, monkeypatch, hot):
+    """The pages of a host that holds most rows, and pages without a host, are judged like any others."""
+    monkeypatch.setattr(common, "HOT", hot)
+    link = '<a href="http://b.com/de/">t</a>'
+    urls = ["http://big.net/x"] * 30 + [None] * 20 + ["http://b.com/de/", "http://small.net/"]
+    pages = spark.createDataFrame([(i, u, link if i == 0 else None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}
+    assert len(got) == len(urls) and {got[i].verdict for i in range(30)} == {"block"} and len({got[i].distrust for i in range(30)}) == 1
+    assert all((got[i].host, got[i].verdict, got[i].trust) == ("", "allow", 0.0) for i in range(30, 50)) and got[51].verdict == "allow"
 
 
 def test_components(spark):
