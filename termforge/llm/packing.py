@@ -2,9 +2,13 @@
 
 Pieces of equal length are interchangeable, so the search needs only the histogram of lengths: at most MAX_TOKENS
 counts, whatever the corpus. Around the largest remaining piece, undominated fillings are enumerated (a filling is
-dominated if one of its pieces can be exchanged for a larger one, or another piece added, without overflow), tried in order of
-waste, and cut by the waste that a better solution may still have. A best-fit solution is the first incumbent. A
-chosen filling is applied to as many sequences at once as the counts allow, so the plan has few thousand distinct fillings.
+dominated if one of its pieces can be exchanged for a larger one, or another piece added, without overflow) and tried in order of
+waste (one search: best fit first), each as often as the counts allow, then less often. A branch is left when its sequences and the lower bound of the rest
+reach the best plan so far; the search then backtracks. The first incumbent is the
+best-fit-decreasing plan, or a greedy descent that beats it. A search ends
+at the lower bound, when nothing is left to try, or after STEPS steps. The first stops each enumeration of fillings after NODES
+steps; if that left any out, or its steps ended, further SEARCHES follow with more of them and in other orders. A
+plan may be improvable only if all ended without proof.
 
 Each piece then finds its place from its rank among pieces of its length. Ranks are dealt by (length, bucket of doc_id),
 so a length that a third of all pieces share is ranked in many tasks.
@@ -24,8 +28,9 @@ from pyspark.sql import functions as F
 from termforge.llm.common import bounded_batches, materialize, partitions
 
 MAX_TOKENS, END_ID = 2048, 0
-#: Nodes of the completion search for each filling, and fillings compared at each branch.
-NODES, WIDTH = 400, 6
+#: Steps of one search; for each search the steps of one enumeration of fillings, and the order of fillings.
+NODES, STEPS = 400, 4_000_000
+SEARCHES = ((NODES, 1), (NODES, 0), (NODES * 16, 1), (NODES * 16, -1))
 
 
 def encoder(folder: str | None = None):
@@ -90,7 +95,94 @@ def token_pieces(docs: DataFrame, limit: int = MAX_TOKENS, tokenizers: str | Non
 # --- the plan: on the driver, over the histogram only ---------------------------------------------------------------------
 
 
-def completions(lengths: list[int], left: dict[int, int], room: int, width: int = WIDTH, nodes: int = NODES) -> list[tuple[int, list[int]]]:
+def completions(lengths: list[int], left: dict[int, int], room: int, steps: int = NODES, order: int = 0) -> tuple[list[tuple[int, tuple[int, ...]]], int, bool]:
+    """All undominated (waste, filling) of ``room``; the steps taken; whether none is missing.
+
+    Order: the least waste first, then the fewest pieces (1) or the most (-1); 0 is that of best fit, the largest pieces first.
+    Depth first, largest pieces first. A piece taken while a larger one, ``t``, would fit must leave less waste than the
+    difference to ``t``, else the exchange dominates.
+    """
+    import bisect
+
+    if left.get(room, 0) > 0:  # one piece that fits exactly dominates every other filling
+        return [(0, (room,))], 1, True
+    found: list[tuple[int, tuple[int, ...]]] = []
+    taken, filling = 0, []
+
+    def descend(room: int, top: int, used: int, most: float) -> None:
+        """``used`` of lengths[top] are in the filling; the waste must stay below ``most``."""
+        nonlocal taken
+        taken += 1
+        larger = None
+        for i in range(bisect.bisect_right(lengths, room, 0, top + 1) - 1, -1, -1):
+            taken += 1
+            size = lengths[i]
+            if left[size] <= (used if i == top else 0):
+                continue
+            filling.append(size)
+            descend(room - size, i, used + 1 if i == top else 1, most if larger is None else min(most, larger - size))
+            filling.pop()
+            if taken >= steps:
+                return
+            larger = size
+        if larger is None and room < most:
+            found.append((room, tuple(filling)))
+
+    descend(room, len(lengths) - 1, 0, float("inf"))
+    found.sort(key=(lambda x: (x[0], order * len(x[1]), x[1])) if order else (lambda x: [-s for s in x[1]]))
+    return found, taken, taken < steps
+
+
+def lower_bound(counts: dict[int, int], limit: int) -> int:
+    """Sequences that any plan needs: the bound L2 of Martello and Toth, at least the tokens over ``limit``."""
+    import numpy as np
+
+    n = np.zeros(limit + 1, np.int64)
+    for size, count in counts.items():
+        n[size] = count
+    many, tokens = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(n * np.arange(limit + 1)))  # of sizes below
+    half = limit // 2 + 1  # sizes from here on are alone or with smaller ones
+    k = np.arange(limit // 2 + 1)
+    large, free = many[-1] - many[half], (many[limit - k + 1] - many[half]) * limit - (tokens[limit - k + 1] - tokens[half])
+    small = tokens[half] - tokens[k]
+    return int((large + np.maximum(0, -(-(small - free) // limit))).max())
+
+
+def best_fit(counts: dict[int, int], limit: int) -> list[tuple[list[int], int]]:
+    """The best-fit-decreasing plan: each piece, largest first, goes to the fullest sequence that has room for it."""
+    import bisect
+
+    open_: dict[int, list[tuple[list[int], int]]] = {}  # by room: fillings and how many sequences have them
+    rooms: list[int] = []
+
+    def put(room, filling, times):
+        if room not in open_:
+            bisect.insort(rooms, room)
+            open_[room] = []
+        open_[room].append((filling, times))
+
+    for size in sorted(counts, reverse=True):
+        n = counts[size]
+        while n:
+            at = bisect.bisect_left(rooms, size)
+            if at < len(rooms):
+                room = rooms[at]
+                filling, times = open_[room].pop()
+                if not open_[room]:
+                    del open_[room], rooms[at]
+            else:
+                room, filling, times = limit, [], n
+            # a sequence stays the fullest with room until it has none left for this size
+            each = min(room // size, n)
+            some = min(times, n // each)
+            if times > some and filling:
+                put(room, filling, times - some)
+            put(room - each * size, [*filling, *[size] * each], some)
+            n -= each * some
+    return [x for room in rooms for x in open_[room]]
+
+
+def _some_completions(lengths: list[int], left: dict[int, int], room: int, width: int = 6, nodes: int = NODES) -> list[tuple[int, list[int]]]:
     """(waste, filling) for the least wasteful undominated fillings of ``room`` found within ``nodes`` steps.
 
     Depth first, largest pieces first, so the first leaf is the best-fit filling. A branch is cut when even the waste it
@@ -141,15 +233,15 @@ def completions(lengths: list[int], left: dict[int, int], room: int, width: int
     return unique
 
 
-def _solve(counts: dict[int, int], limit: int, choose, allowed: float) -> list[tuple[list[int], int]] | None:
-    """Fillings with their multiplicities; None as soon as the waste exceeds ``allowed``."""
+def _descend(counts: dict[int, int], limit: int, choose, allowed: float) -> list[tuple[list[int], int]] | None:
+    """A greedy plan, one filling after the other; None as soon as its waste exceeds ``allowed``."""
     left = {s: c for s, c in counts.items() if c}
     lengths = sorted(left)
     plan, waste = [], 0
     while lengths:
         largest = lengths[-1]
         left[largest] -= 1
-        options = completions([s for s in lengths if left[s]] if not left[largest] else lengths, left, limit - largest)
+        options = _some_completions([s for s in lengths if left[s]] if not left[largest] else lengths, left, limit - largest)
         left[largest] += 1
         room, filling = choose(options, largest) if options else (limit - largest, [])
         filling = [largest, *filling]
@@ -164,23 +256,94 @@ def _solve(counts: dict[int, int], limit: int, choose, allowed: float) -> list[t
     return plan
 
 
-def plan_bins(counts: dict[int, int], limit: int = MAX_TOKENS, branches: int = 4) -> list[tuple[list[int], int]]:
-    """Fillings and how often each is used. Stops at the lower bound; otherwise the best of ``branches`` branches."""
-    total = sum(s * c for s, c in counts.items())
-    bound = -(-total // limit)
-    best = None
-    for branch in range(branches):
-        # a better solution has at least one sequence less, so this much waste at most
-        allowed = float("inf") if best is None else (used - 1) * limit - total
-        if allowed < 0:
+def first_plan(counts: dict[int, int], limit: int) -> list[tuple[list[int], int]]:
+    """The first incumbent: best fit decreasing, or a greedy descent of bin completion that needs fewer sequences."""
+    best, total = best_fit(counts, limit), sum(s * c for s, c in counts.items())
+    for pieces in (0, 1, -1):
+        used = sum(n for _, n in best)
+        allowed = (used - 1) * limit - total
+        pick = (lambda options, _, p=pieces: min(options, key=lambda x: (x[0], len(x[1]) * p, x[1]))) if pieces else (lambda options, _: options[0])
+        plan = _descend(counts, limit, pick, allowed) if allowed >= 0 else None
+        if plan is not None and sum(n for _, n in plan) < used:
+            best = plan
+    return best
+
+
+def _search(counts: dict[int, int], limit: int, nodes: int, order: int, steps: int, used: int, bound: int):
+    """(plan with less than ``used`` sequences or None, whether no better one can be missed)."""
+    from array import array
+    from hashlib import blake2b
+
+    left = dict(sorted(counts.items()))
+    seen: dict[bytes, int] = {}
+    best, plan, n, whole = None, [], 0, True
+
+    def moves(last):
+        """A node's branches: each undominated filling around its largest piece, as often as it can be used and less often."""
+        nonlocal steps, whole
+        lengths = [s for s in left if left[s]]
+        largest = lengths[-1]
+        left[largest] -= 1
+        fitting = lengths if left[largest] else lengths[:-1]
+        options, took, all_ = completions(fitting, left, limit - largest, nodes, order)
+        left[largest] += 1
+        steps -= took
+        whole &= all_
+        for _, rest in options:
+            filling = (largest, *rest)
+            if filling != last:
+                for times in range(min(left[s] // filling.count(s) for s in set(filling)), 0, -1):
+                    yield filling, times
+
+    stack = [moves(None)]
+    while stack:
+        if steps <= 0:
+            return best, False
+        if len(plan) == len(stack):  # back from a branch
+            filling, times = plan.pop()
+            n -= times
+            for s in filling:
+                left[s] += times
+        move = next(stack[-1], None)
+        if move is None:
+            stack.pop()
+            continue
+        filling, times = move
+        for s in filling:
+            left[s] -= times
+        plan.append(move)
+        n += times
+        steps -= len(left)
+        if not any(left.values()):
+            if n < used:
+                best, used = [(list(f), t) for f, t in plan], n
+                if used == bound:
+                    break
+            continue
+        key = blake2b(array("q", left.values()).tobytes(), digest_size=16).digest()
+        if seen.get(key, n + 1) <= n or n + lower_bound(left, limit) >= used:
+            continue
+        seen[key] = n
+        again = all(left[s] >= filling.count(s) for s in filling)
+        stack.append(moves(filling if again else None))
+    return best, whole
+
+
+def plan_bins(counts: dict[int, int], limit: int = MAX_TOKENS, steps: int = STEPS) -> list[tuple[list[int], int]]:
+    """Fillings and how often each is used: with the fewest sequences, or the best plan found by SEARCHES of ``steps``."""
+    counts = {s: c for s, c in counts.items() if c}
+    if not counts:
+        return []
+    best, bound = first_plan(counts, limit), lower_bound(counts, limit)
+    for nodes, order in SEARCHES:
+        used = sum(n for _, n in best)
+        if used == bound:
             break
-        pick = (lambda options, _: options[0]) if branch == 0 else (lambda options, _, b=branch: min(options, key=lambda x: (x[0], len(x[1]) * (1 if b % 2 else -1), x[1])))
-        plan = _solve(counts, limit, pick, allowed)
-        if plan is not None and (best is None or sum(n for _, n in plan) < used):
-            best, used = plan, sum(n for _, n in plan)
-        if best is not None and used == bound:
+        found, whole = _search(counts, limit, nodes, order, steps, used, bound)
+        best = found or best
+        if whole:
             break
-    return best or []
+    return best
 
 
 def _places(batches, plan):

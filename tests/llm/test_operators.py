@@ -293,6 +293,27 @@ def test_plan_reaches_the_bound_where_there_is_one():
     assert packing.plan_bins({}, 10) == []
 
 
+def test_plan_backtracks_to_the_optimum():
+    assert sum(n for _, n in packing.plan_bins({820: 2, 614: 6, 408: 2}, 2048)) == 3  # greedy descents end at 4
+
+    def optimum(items, rooms, most):
+        """The fewest sequences, or ``most`` if there is no plan with less."""
+        if len(rooms) >= most or not items:
+            return min(len(rooms), most)
+        fits = [[*rooms[:i], r - items[0], *rooms[i + 1 :]] for i, r in enumerate(rooms) if r >= items[0]]
+        for tried in (*fits, [*rooms, 50 - items[0]]):
+            most = optimum(items[1:], tried, most)
+        return most
+
+    rng = random.Random(4)
+    for _ in range(150):
+        counts = collections.Counter(rng.randint(8, 27) for _ in range(rng.randint(1, 8)))
+        plan = packing.plan_bins(counts, 50)
+        assert sum((collections.Counter({s: f.count(s) * n for s in f}) for f, n in plan), collections.Counter()) == counts
+        assert all(sum(f) <= 50 for f, _ in plan)
+        assert sum(n for _, n in plan) == optimum(sorted(counts.elements(), reverse=True), [], sum(counts.values()))
+
+
 def test_urls(spark):
     urls = ["http://a.example.ORG/es/1?x", "http://example.org/en/17", "http://example.org/en/2", "ftp://example.org", "http://b.com/fr/", "http://b.com/de/x#y", "http://b.com/en/", "http://c.net/q", None, "none"]
     link = '<a class="k" href="http://b.com/en/">t</a><a href=/own>o</a>'
