@@ -339,6 +339,24 @@ def test_propagation_equals_a_dense_walk(spark):
     assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in rank.items() if v}
 
 
+def test_distrust_reaches_the_fixed_point(spark):
+    """A chain of 26 hosts to a blocked one, and a cycle at its far end."""
+    hosts = [f"h{i}.net" for i in range(26)] + ["b.com"]
+    to = {h: [n] for h, n in zip(hosts, hosts[1:], strict=False)} | {"g.net": ["h0.net"]}
+    to["h0.net"].append("g.net")
+    hosts.append("g.net")
+    html = {h: "".join(f'<a href="http://{n}/de/">x</a>' for n in to.get(h, ())) for h in hosts}
+    pages = spark.createDataFrame([(i, f"http://{h}/de/", html[h]) for i, h in enumerate(hosts)], "page_id long, url string, html string").coalesce(1)
+    got = {r.host: r for r in url_filter.judge_urls(pages, damping=0.5).collect()}
+    a = np.zeros((len(hosts),) * 2)
+    for src, targets in to.items():
+        for dst in targets:
+            a[hosts.index(src), hosts.index(dst)] = 1 / sum(dst in t for t in to.values())
+    want = np.linalg.solve(np.eye(len(hosts)) - 0.5 * a, [0.5 * (h == "b.com") for h in hosts])
+    assert {r.verdict for r in got.values()} == {"block"}
+    assert all(math.isclose(got[h].distrust, w, rel_tol=1e-5) for h, w in zip(hosts, want, strict=True))
+
+
 def test_rollups(spark, docs, tmp_path):
     store = token_rollup.RollupStore(spark, str(tmp_path / "store"))
     rows = token_rollup.counted(docs, "words-1")
