@@ -150,6 +150,23 @@ def test_exact_duplicates(docs, rows):
     assert kept.columns == docs.columns and kept.count() == len(groups)
 
 
+def test_exact_duplicates_over_many_ranges(spark, monkeypatch):
+    """A text of a third of all rows is cut over ranges; texts alike in their first bytes are told apart; clashing columns come back."""
+    monkeypatch.setattr(exact_dedup, "PART_ROWS", 7)
+    rng = random.Random(3)
+    head = "same beginning of many texts, longer than a splitter "
+    texts = ["hot  text"] * 50 + [head + str(rng.randrange(30)) * rng.randrange(1, 3) for _ in range(60)] + ["", None, " ", "hot text "] * 3 + ["x" * 300_000, "x" * 300_000 + "y"] * 2
+    ids = rng.sample(range(-500, 500), len(texts))
+    docs = spark.createDataFrame([(i, t, "a", b"b") for i, t in zip(ids, texts, strict=True)], "doc_id long, text string, sid string, sha binary").repartition(5)
+    groups = collections.defaultdict(list)
+    for i, t in zip(ids, texts, strict=True):
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append(i)
+    want = sorted((i, min(x), len(x), i == min(x), hashlib.sha256(t.encode()).hexdigest()) for t, x in groups.items() for i in x)
+    assert sorted(r[:] for r in exact_dedup.exact_duplicates(docs).collect()) == want
+    kept = exact_dedup.distinct_texts(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r.sid, bytes(r.sha)) for r in kept.collect()) == sorted((min(x), "a", b"b") for x in groups.values())
+
+
 def test_repeated_passages(docs, rows):
     seen, want = {}, collections.Counter()
     for i, t, *_ in rows:
