@@ -1,17 +1,27 @@
 """Language-model scores: a hashed maximum-entropy model with class-factored softmax.
 
-Tokens are words and one end a text. The SYMBOLS most frequent tokens are predicted one by one: first their class, then the token
-within it, each by a softmax over hashed features of the history (previous token, both skips, the token pair, the
-previous word's ending). All other tokens form one class, whose members get their smoothed share of that class. Training
-runs over every training document: each task makes gradient updates on its own documents from the same start, and the
-tasks' weights are averaged, weighted by their tokens. Scoring runs in sparse numpy batches: a token touches a few rows.
+Tokens are words and one end a text. The vocabulary is factored into nested classes of at most FAN members by frequency (a
+FAN-ary Huffman tree): a token is predicted by one softmax a level, frequent ones by one or two. Each of the HEAVY most
+frequent tokens is a leaf of its own. All others are in one of RARE leaves by hash; within such a leaf a token gets its smoothed
+share, from counts over all training text. So every word is predicted from its history, and the probabilities of all tokens, with one
+unknown token a rare leaf, sum to 1.
 
-Counts cover the corpus. Tokens are dealt to parts by hash, tasks combining theirs first. At most HEAVY frequent tokens have
-their counts broadcast; the rest, none of which is hot, are counted and scored in their part, and only a document's sum
-for a part travels on. Token identity is a 64-bit hash.
+Features of the history are hashed from the words themselves, 64-bit hashes, not from a vocabulary: the word before, the
+word before that (skip), and both. A feature and a class select one row of FAN weights. The table has about one row for each ROW_TOKENS training
+tokens, 2**MAX_BITS rows (16 MB, broadcast to every task) at most. Weights are added to the log shares of the class's members.
+
+Training makes ROUNDS updates, each from its own share of the documents, dealt by hash. In a round all tasks sum what they observe and
+what the model expects, by row and member; the sums of all tasks give one gradient step, scaled by what was observed
+and expected. Sums do not depend on how the input is split (but for rounding). Scoring runs in sparse numpy batches: a decision touches three rows.
+
+Counts cover the corpus. Tokens are dealt to parts by hash, tasks combining theirs first. The HEAVY most frequent tokens have
+their counts broadcast; the others are counted and scored in their part, and only a document's sum for a part travels on. The
+most frequent of these has at most a HEAVY-th of all tokens, which bounds a part's rows. Token identity is a 64-bit hash.
+
+Memory: a task holds the model, one Arrow batch and FLUSH_BYTES of text's postings, or one longer text's; a part's task holds its postings.
 
 Null text is empty: one end token. A null doc_id has the fold of empty text. Repeated rows count and are scored each. With nothing to
-learn from, tokens are unknown and base_score is 0 a token. An empty table gives an empty result.
+learn from, tokens are unknown and base_score is 0 a token. An empty table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -21,35 +31,30 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import WHITE, bounded_batches, chunks, materialize, mix, span_hashes, word_spans
+from termforge.llm.common import WHITE, bounded_batches, chunks, materialize, mix, partitions, span_hashes, word_spans
 from termforge.llm.language_id import fold
 
 FOLDS, HELD_OUT = 5, 1
-CLASSES, PER_CLASS = 16, 16
-SYMBOLS = (CLASSES - 1) * PER_CLASS
-HEAVY, BATCH, RATE = 32_768, 16_384, 0.1
-ROWS_1, ROWS_2 = 1 << 14, 1 << 15
-#: Text that a task combines before it sends postings on; text for each part; weights in a row sent.
-FLUSH_BYTES, PART_BYTES, BLOCK = 8 << 20, 32 << 20, 1 << 16
+FAN, HEAVY, RARE = 16, 65_536, 16
+#: Weight rows: one for so many training tokens, between two powers of two.
+ROW_TOKENS, MIN_BITS, MAX_BITS = 1024, 14, 18
+#: Updates; the length of a step; what is added to observed and expected counts; tokens handled at once.
+ROUNDS, RATE, PRIOR, BATCH = 3, 0.4, 3.0, 4096
+#: Text that a task combines before it sends postings on; text for each part, and for each training task; rows of weights sent at once.
+FLUSH_BYTES, PART_BYTES, TRAIN_BYTES, BLOCK = 8 << 20, 256 << 20, 64 << 20, 256
 END = 0xFFFFFFFFFFFFFFFF
 
 
 def tokens(column):
-    """(first row, token hashes with each text's end, endings, starts of the rows) for consecutive rows."""
+    """(first row, token hashes with each text's end, starts of the rows) for consecutive rows."""
     import numpy as np
 
     for row, data, at in chunks(column):
         starts, ends, first = word_spans(data, at, ~WHITE)
         n = len(at) - 1
-        doc = np.repeat(np.arange(n), np.diff(first))
         out = np.full(len(starts) + n, END, np.uint64)
-        where = np.arange(len(starts)) + doc
-        out[where] = span_hashes(data, starts, ends)
-        tail = np.zeros(len(out), np.uint16)
-        if len(starts):
-            low = data[ends - 1].astype(np.uint16)
-            tail[where] = low << np.uint16(8) | np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0).astype(np.uint16)
-        yield row, out, tail, first + np.arange(n + 1)
+        out[np.arange(len(starts)) + np.repeat(np.arange(n), np.diff(first))] = span_hashes(data, starts, ends)
+        yield row, out, first + np.arange(n + 1)
 
 
 # --- counts -----------------------------------------------------------------------------------------------------------
@@ -69,7 +74,7 @@ def _count(batches, parts):
         held, size = [(known, count)], len(known)
 
     for batch in batches:
-        for _, t, _, _ in tokens(batch.column("text")):
+        for _, t, _ in tokens(batch.column("text")):
             u, c = np.unique(t, return_counts=True)
             held.append((u, c))
             size += len(u)
@@ -81,181 +86,194 @@ def _count(batches, parts):
 
 
 def _totals(batches, most):
-    """The most frequent tokens of the parts of one partition, and a row (token null) with all tokens and distinct ones."""
+    """The most frequent tokens of a part, and a row (token null) with its tokens and its distinct ones; a part is in one rare leaf."""
     import numpy as np
     import pyarrow as pa
 
     x, n = [], []
     for batch in batches:
-        x += [np.frombuffer(b.as_py(), np.int64) for b in batch.column("x")]
+        x += [np.frombuffer(b.as_py(), np.uint64) for b in batch.column("x")]
         n += [np.frombuffer(b.as_py(), np.int64) for b in batch.column("y")]
     if not x:
         return
     token, back = np.unique(np.concatenate(x), return_inverse=True)
     count = np.bincount(back, np.concatenate(n), len(token)).astype(np.int64)
+    # by rare leaf: a task may read several parts
+    leaf = (token % np.uint64(RARE)).astype(np.int64)
+    each, kinds = np.bincount(leaf, count, RARE).astype(np.int64), np.bincount(leaf, minlength=RARE)
+    some = np.flatnonzero(kinds)
     top = np.lexsort((token, -count))[:most]
-    out = [pa.array([None, *token[top].tolist()], pa.int64()), pa.array([int(count.sum()), *count[top].tolist()], pa.int64()), pa.array([len(token)] + [0] * len(top), pa.int64())]
-    yield pa.RecordBatch.from_arrays(out, ["token", "n", "kinds"])
+    signed = token.view(np.int64)
+    out = [pa.array([None] * len(some) + signed[top].tolist(), pa.int64()), pa.array(np.concatenate((some, leaf[top]))), pa.array(np.concatenate((each[some], count[top]))), pa.array(np.concatenate((kinds[some], np.zeros(len(top), np.int64))))]
+    yield pa.RecordBatch.from_arrays(out, ["token", "leaf", "n", "kinds"])
 
 
 # --- the model --------------------------------------------------------------------------------------------------------
 
 
+def huffman(weights):
+    """(parent node, child number) of every leaf, the same of every node (node 0 is the root), by least weight first; FAN children a node."""
+    import heapq
+
+    import numpy as np
+
+    n = len(weights)
+    spare = -(n - 1) % (FAN - 1) if n > 1 else 0  # so that the root has all its children
+    heap = [(float(w), i) for i, w in enumerate(weights)]
+    heapq.heapify(heap)
+    up, child = np.zeros(2 * n + FAN, np.int64), np.zeros(2 * n + FAN, np.int64)
+    nodes = n
+    while len(heap) > 1 or nodes == n:
+        own = [heapq.heappop(heap) for _ in range(min(FAN - (spare if nodes == n else 0), len(heap)))]
+        for k, (_, i) in enumerate(sorted(own, reverse=True)):
+            up[i], child[i] = nodes, k
+        heapq.heappush(heap, (sum(w for w, _ in own), nodes))
+        nodes += 1
+    flip = lambda x: nodes - 1 - x  # noqa: E731  the last node made is the root
+    return flip(up[:n]), child[:n], np.append(-1, flip(up[n : nodes - 1])[::-1]), np.append(0, child[n : nodes - 1][::-1])
+
+
 class Model:
-    """Weights of both levels in one float32 vector, and the hashed rows of the features."""
+    """The classes, their members' log shares, and the hashed rows of weights."""
 
-    def __init__(self, heavy: list[tuple[int, int]], total: int):
-        """heavy: (token hash as signed long, count), most frequent first; the end token is among them."""
+    def __init__(self, heavy: list[tuple[int, int]], rare_n, rare_kinds, total: int):
+        """heavy: (token hash as signed long, count); rare_n, rare_kinds: tokens and distinct ones of each rare leaf, without the heavy ones."""
         import numpy as np
 
-        self.symbols = heavy[:SYMBOLS]
-        order = sorted(range(len(heavy)), key=lambda i: heavy[i][0] & END)
-        self.token = np.array([heavy[i][0] & END for i in order], np.uint64)
-        self.count = np.array([heavy[i][1] for i in order], np.int64)
-        self.symbol = np.array([i + 1 if i < SYMBOLS else 0 for i in order], np.int64)  # 0: the class of all others
-        self.rare_n = total - sum(n for _, n in self.symbols)
-        sizes = np.zeros((CLASSES, PER_CLASS))
-        sizes[0, 0] = self.rare_n + 0.5
-        for i, (_, n) in enumerate(self.symbols):
-            sizes[1 + i // PER_CLASS, i % PER_CLASS] = n + 0.5
-        by_class = sizes.sum(1)
+        heavy = sorted((t & END, n) for t, n in heavy)
+        self.token = np.array([t for t, _ in heavy] or [END], np.uint64)
+        self.count = np.array([n for _, n in heavy] or [0], np.int64)
+        bits = max(1, int(len(self.token)).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.token >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        self.probes = int(np.diff(self.first).max())
+        rare = np.asarray(rare_n, np.float64) + 0.5 * (np.asarray(rare_kinds, np.float64) + 1)
+        self.rare_log = np.log10(rare)
+        weights = np.concatenate((self.count + 0.5, rare))
+        leaf_up, leaf_child, node_up, node_child = huffman(weights)
+        nodes = len(node_up)
+        sums = np.zeros((nodes, FAN))
+        sums[leaf_up, leaf_child] = weights
+        for k in range(nodes - 1, 0, -1):
+            sums[node_up[k], node_child[k]] = sums[k].sum()
         with np.errstate(divide="ignore"):
-            b1 = np.where(by_class > 0, np.log(np.maximum(by_class, 1e-300) / by_class.sum()), -60)
-            b2 = np.where(sizes > 0, np.log(np.maximum(sizes, 1e-300) / np.maximum(by_class, 1e-300)[:, None]), -60)
-        self.shape = (ROWS_1 + 1, ROWS_2 + CLASSES)
-        self.weights = np.zeros(sum(self.shape) * PER_CLASS, np.float32)
-        one, two = self.views(self.weights)
-        one[ROWS_1], two[ROWS_2:] = b1, b2
-
-    def views(self, vector):
-        cut = self.shape[0] * CLASSES
-        return vector[:cut].reshape(-1, CLASSES), vector[cut:].reshape(-1, PER_CLASS)
-
-    def tables(self):
-        """For each feature value a hashed row of the first level and a base of the second."""
+            self.bias = np.maximum(np.log(sums / sums.sum(1, keepdims=True)), -60).astype(np.float32)
+        # paths from the leaves up; a level is -1 beyond the root
+        path, digit = [leaf_up], [leaf_child]
+        while (path[-1] > 0).any():
+            inner = path[-1] > 0
+            path.append(np.where(inner, node_up[np.maximum(path[-1], 0)], -1))
+            digit.append(np.where(inner, node_child[np.maximum(path[-2], 0)], 0))
+        self.path, self.digit = np.stack(path, 1).astype(np.int32), np.stack(digit, 1).astype(np.int8)
+        self.depth = (self.path >= 0).sum(1)
+        self.bits = min(MAX_BITS, max(MIN_BITS, int(total // ROW_TOKENS).bit_length()))
+        self.weights = np.zeros((1 << self.bits, FAN), np.float32)
+
+    def lookup(self, t):
+        """Each token's leaf, its count if it is heavy, and whether it is."""
         import numpy as np
 
-        sizes = (SYMBOLS + 2, SYMBOLS + 2, SYMBOLS + 2, 1 << 16, 1 << 16)
-        hashed = [mix(np.arange(n, dtype=np.uint64) + np.uint64(f << 32)) for f, n in enumerate(sizes)]
-        return [(h % np.uint64(ROWS_1)).astype(np.int32) for h in hashed], [(h >> np.uint64(20)).astype(np.int64) for h in hashed]
+        at = (t >> self.shift).astype(np.int64)
+        low, high = self.first[at], self.first[at + 1]
+        found = np.zeros(len(t), bool)
+        place = np.zeros(len(t), np.int64)
+        last = len(self.token) - 1
+        for k in range(self.probes):
+            i = np.minimum(low + k, last)
+            hit = (self.token[i] == t) & (low + k < high)
+            place[hit] = i[hit]
+            found |= hit
+        return np.where(found, place, len(self.token) + (t % np.uint64(RARE)).astype(np.int64)), np.where(found, self.count[place], 0), found
+
+    def decisions(self, leaf, features):
+        """For each level of each token's path: the token, the class, the member, and a row of weights for each feature."""
+        import numpy as np
 
-    def lookup(self, t):
-        """Symbols, counts, and which tokens are heavy."""
+        many = self.depth[leaf]
+        of = np.repeat(np.arange(len(leaf)), many)
+        level = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+        own = leaf[of]
+        node, digit = self.path[own, level], self.digit[own, level]
+        salt = mix(node.astype(np.uint64))
+        shift = np.uint64(64 - self.bits)
+        rows = [(((f[of] ^ salt) * np.uint64(0x9FB21C651E98DF25)) >> shift).astype(np.int32) for f in features]
+        return of, node, digit, rows
+
+    def chances(self, node, rows):
+        """The probabilities of all members of each decision's class."""
         import numpy as np
 
-        i = np.minimum(np.searchsorted(self.token, t), len(self.token) - 1)
-        heavy = self.token[i] == t
-        return np.where(heavy, self.symbol[i], 0), np.where(heavy, self.count[i], 0), heavy
+        z = np.take(self.bias, node, axis=0, mode="clip")
+        for r in rows:
+            z += np.take(self.weights, r, axis=0, mode="clip")
+        np.exp(z, out=z)  # log shares are 0 at most and a step moves a weight by 2 * RATE at most, so nothing overflows
+        z /= (z @ np.ones(FAN, np.float32))[:, None]
+        return z
 
 
-def histories(symbol, tail, starts):
-    """Feature values of each token: previous, skips to the second and third, the pair, the previous word's ending."""
+def histories(t, starts):
+    """Hashes of each token's features: the word before, the one before that, both; a text begins with two empty words."""
     import numpy as np
 
-    begin, none = starts[:-1], SYMBOLS + 1
-    out, last = [], symbol
-    for _ in range(3):
-        prev = np.empty_like(symbol)
+    out, last = [], t
+    for _ in range(2):
+        prev = np.empty_like(t)
         prev[1:] = last[:-1]
-        prev[begin] = none
+        prev[starts[:-1]] = 0
         out.append(prev)
         last = prev
-    ending = np.empty_like(tail)
-    ending[1:] = tail[:-1]
-    ending[begin] = 0
-    return [*out, (out[1] << 8 | out[0]) & 0xFFFF, ending.astype(np.int64)]
-
-
-def _softmax(z):
-    import numpy as np
+    one, two = out
+    return [mix(one + np.uint64(0x9E3779B97F4A7C15)), mix(two + np.uint64(0x3C6EF372FE94F82B)), mix(one * np.uint64(0xC2B2AE3D27D4EB4F) + mix(two))]
 
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    return z
 
-
-def _level(weights, rows, bias):
-    z = weights[bias]
-    for r in rows:
-        z += weights[r]
-    return _softmax(z)
-
-
-def _steps(symbol, features, one, two):
-    """Per batch of tokens: their classes and slots, the rows of both levels, and which tokens need the second."""
-    import numpy as np
-
-    cls = np.where(symbol > 0, 1 + (symbol - 1) // PER_CLASS, 0)
-    slot = np.where(symbol > 0, (symbol - 1) % PER_CLASS, 0)
-    for i in range(0, len(symbol), BATCH):
-        c, s = cls[i : i + BATCH], slot[i : i + BATCH]
-        values = [f[i : i + BATCH] for f in features]
-        rows = [t[v] for t, v in zip(one, values, strict=True)]
-        inner = np.flatnonzero(c > 0)
-        rows2 = [(t[v[inner]] + c[inner] * 40_503) & (ROWS_2 - 1) for t, v in zip(two, values, strict=True)]
-        yield i, c, s, rows, inner, rows2
-
-
-def _gradient(p, target, rows, bias, shape):
-    """Sum over the batch of (truth - p) for each weight touched."""
-    import numpy as np
-
-    p[np.arange(len(target)), target] -= 1
-    at = np.concatenate([*rows, bias])
-    out = np.empty(shape[::-1])
-    for k in range(shape[1]):
-        out[k] = np.bincount(at, np.tile(p[:, k], len(rows) + 1), shape[0])
-    return -out.T
-
-
-def _train(batches, model, rate):
+def _observe(batches, model):
+    """What the tasks' documents have and what the model expects, by row of weights and member, in blocks of rows."""
     import numpy as np
     import pyarrow as pa
 
-    w = model.weights.copy()
-    one, two = model.views(w)
-    sums = np.full(len(w), 1e-6, np.float32)
-    sum1, sum2 = model.views(sums)
-    t1, t2 = model.tables()
-    seen = 0
+    seen, expected = np.zeros(model.weights.shape, np.float32), np.zeros(model.weights.shape[::-1], np.float32)
+    any_ = False
     for batch in batches:
-        for _, t, tail, starts in tokens(batch.column("text")):
-            symbol, _, _ = model.lookup(t)
-            for _, c, s, rows, inner, rows2 in _steps(symbol, histories(symbol, tail, starts), t1, t2):
-                bias = np.full(len(c), ROWS_1)
-                work = [(one, sum1, c, rows, bias)]
-                if len(inner):
-                    work.append((two, sum2, s[inner], rows2, ROWS_2 + c[inner]))
-                for weights, total, target, r, b in work:
-                    g = _gradient(_level(weights, r, b), target, r, b, weights.shape)
-                    total += g * g
-                    weights += rate * g / np.sqrt(total)
-            seen += len(t)
-    if seen:
-        for k in range(0, len(w), BLOCK):
-            yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([seen], pa.int64()), pa.array([w[k : k + BLOCK].tobytes()])], ["block", "n", "w"])
-
-
-def _average(batches):
+        for _, t, starts in tokens(batch.column("text")):
+            leaf, _, _ = model.lookup(t)
+            features = histories(t, starts)
+            for i in range(0, len(t), BATCH):
+                any_ = True
+                _, node, digit, rows = model.decisions(leaf[i : i + BATCH], [f[i : i + BATCH] for f in features])
+                p = model.chances(node, rows)
+                members = np.ascontiguousarray(p.T)
+                for r in rows:
+                    r = r.astype(np.int64)
+                    np.add.at(seen.ravel(), r * FAN + digit, np.float32(1))
+                    for k in range(FAN):
+                        np.add.at(expected[k], r, members[k])
+    if any_:
+        for k in range(0, len(seen), BLOCK):
+            s, e = seen[k : k + BLOCK], np.ascontiguousarray(expected[:, k : k + BLOCK].T)
+            if e.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([s.tobytes()]), pa.array([e.tobytes()])], ["block", "s", "e"])
+
+
+def _step(batches, rate):
+    """The step of each block of rows: the gradient, observed less expected, over the mean of both and a prior."""
     import numpy as np
     import pyarrow as pa
 
-    sums, n = {}, {}
+    sums = {}
     for batch in batches:
-        for row in batch.to_pylist():
-            b = row["block"]
-            sums[b] = sums.get(b, 0) + np.frombuffer(row["w"], np.float32).astype(np.float64) * row["n"]
-            n[b] = n.get(b, 0) + row["n"]
-    for b in sums:
-        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([(sums[b] / n[b]).astype(np.float32).tobytes()])], ["block", "w"])
+        for b, s, e in zip(*(batch.column(c).to_pylist() for c in ("block", "s", "e")), strict=True):
+            own = sums.setdefault(b, np.zeros((2, len(s) // 4)))
+            own[0] += np.frombuffer(s, np.float32)
+            own[1] += np.frombuffer(e, np.float32)
+    for b, (s, e) in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([(rate * (s - e) / ((s + e) / 2 + PRIOR)).astype(np.float32).tobytes()])], ["block", "w"])
 
 
 # --- scores -----------------------------------------------------------------------------------------------------------
 
-SENT = "part int, base long, x binary, y binary, z binary, rid long, doc_id long, held_out boolean, n_tokens long, n_rare long, n_known long, known double, model double"
-SUMMED = "rid long, doc_id long, held_out boolean, n_tokens long, n_rare long, n_known long, known double, model double"
-_DOC = ["rid", "doc_id", "held_out", "n_tokens", "n_rare", "n_known", "known", "model"]
+SENT = "part int, base long, x binary, y binary, z binary, rid long, doc_id long, held_out boolean, n_tokens long, n_known long, known double, model double"
+SUMMED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, known double, model double"
+_DOC = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "known", "model"]
 
 
 def _score(batches, model, parts):
@@ -263,10 +281,10 @@ def _score(batches, model, parts):
     import numpy as np
     import pyarrow as pa
 
-    one, two = model.views(model.weights)
-    t1, t2 = model.tables()
+    from termforge.llm.substring_dedup import _by_part
+
     held, size, base = [], 0, None
-    schema = pa.schema([("part", pa.int32()), ("base", pa.int64()), ("x", pa.binary()), ("y", pa.binary()), ("z", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), *((c, pa.int64()) for c in ("n_tokens", "n_rare", "n_known")), ("known", pa.float64()), ("model", pa.float64())])
+    schema = pa.schema([("part", pa.int32()), ("base", pa.int64()), ("x", pa.binary()), ("y", pa.binary()), ("z", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), *((c, pa.int64()) for c in ("n_tokens", "n_known")), ("known", pa.float64()), ("model", pa.float64())])
 
     def flush():
         t, doc, train = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -275,37 +293,33 @@ def _score(batches, model, parts):
         start = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (doc[1:] != doc[:-1])))) if len(t) else np.zeros(0, np.int64)
         times = np.diff(np.append(start, len(t)))
         t, doc, train = t[start], doc[start], train[start]
-        part = (t % np.uint64(parts)).astype(np.int64)
-        for p in range(parts):
-            own = part == p
-            if own.any():
-                cols = {"part": [p], "base": [base], "x": [t[own].tobytes()], "y": [doc[own].astype(np.int32).tobytes()], "z": [(times[own] * 2 + train[own]).astype(np.int32).tobytes()]}
-                yield pa.RecordBatch.from_arrays([pa.array(cols.get(f.name, [None]), f.type) for f in schema], schema=schema)
+        sent = _by_part((t % np.uint64(parts)).astype(np.int64), 0, [None, t, doc.astype(np.int32), (times * 2 + train).astype(np.int32)])
+        n = sent.num_rows
+        cols = {"part": sent.column("part"), "base": pa.array(np.full(n, base, np.int64)), "x": sent.column("x"), "y": sent.column("y"), "z": sent.column("z")}
+        yield pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
     for batch in batches:
         n = batch.num_rows
         rid, train = batch.column("rid").to_numpy(), ~batch.column("held_out").to_numpy(zero_copy_only=False)
-        sums = {c: np.zeros(n, np.int64) for c in ("n_tokens", "n_rare", "n_known")} | {c: np.zeros(n) for c in ("known", "model")}
-        for row, t, tail, starts in tokens(batch.column("text")):
+        sums = {c: np.zeros(n, np.int64) for c in ("n_tokens", "n_known")} | {c: np.zeros(n) for c in ("known", "model")}
+        for row, t, starts in tokens(batch.column("text")):
             if base is None:
                 base = int(rid[row])
-            symbol, count, heavy = model.lookup(t)
-            logp = np.empty(len(t))
-            for i, c, s, rows, inner, rows2 in _steps(symbol, histories(symbol, tail, starts), t1, t2):
-                p = _level(one, rows, np.full(len(c), ROWS_1))[np.arange(len(c)), c].astype(np.float64)
-                if len(inner):
-                    p[inner] *= _level(two, rows2, ROWS_2 + c[inner])[np.arange(len(inner)), s[inner]]
-                logp[i : i + BATCH] = np.log10(np.maximum(p, 1e-30))
+            leaf, count, heavy = model.lookup(t)
+            features = histories(t, starts)
+            logp = np.zeros(len(t))
+            for i in range(0, len(t), BATCH):
+                of, node, digit, rows = model.decisions(leaf[i : i + BATCH], [f[i : i + BATCH] for f in features])
+                p = model.chances(node, rows)[np.arange(len(of)), digit].astype(np.float64)
+                logp[i : i + BATCH] = np.bincount(of, np.log10(np.maximum(p, 1e-30)), min(BATCH, len(t) - i))
             own, begin = slice(row, row + len(starts) - 1), starts[:-1]
             add = lambda x, begin=begin: np.add.reduceat(x, begin)  # noqa: E731  every text has its end, so no empty run
             sums["n_tokens"][own] = np.diff(starts)
-            sums["n_rare"][own] = add((symbol == 0).astype(np.int64))
             sums["n_known"][own] = add((count > 0).astype(np.int64))
-            share = np.where(heavy, np.log10(count + 0.5), 0)
-            sums["known"][own] = add(share)
-            # a heavy token outside the symbols is scored within the class of all others
-            sums["model"][own] = add(logp + np.where(symbol == 0, share, 0))
+            sums["known"][own] = add(np.where(heavy, np.log10(count + 0.5), 0))
             light = np.flatnonzero(~heavy)
+            logp[light] -= model.rare_log[leaf[light] - len(model.token)]  # its share of the leaf: the count comes from its part
+            sums["model"][own] = add(logp)
             doc = np.searchsorted(starts, light, "right") - 1 + row
             held.append((t[light], rid[doc] - base, train[doc]))
             size += len(t) * 7
@@ -325,7 +339,7 @@ def _sum_parts(batches):
     import pyarrow.compute as pc
 
     by: dict[int, list] = {}
-    kinds = {"rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_rare": pa.int64(), "n_known": pa.int64(), "known": pa.float64(), "model": pa.float64()}
+    kinds = {"rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "known": pa.float64(), "model": pa.float64()}
     for batch in batches:
         whole = batch.filter(pc.is_valid(batch.column("rid")))
         if whole.num_rows:
@@ -351,50 +365,51 @@ def _sum_parts(batches):
             yield pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(m, k)) for c, k in kinds.items()], list(kinds))
 
 
-def train(docs: DataFrame, parts: int, rate: float = RATE) -> tuple[Model, int, int]:
-    """The model, all training tokens and the distinct ones, from (text) rows."""
+def train(docs: DataFrame, parts: int, size: int, rate: float = RATE, rounds: int = ROUNDS) -> tuple[Model, int, int]:
+    """The model, all training tokens and the distinct ones, from (doc_id, text) rows of ``size`` bytes. ``parts`` is a multiple of RARE."""
     import numpy as np
 
+    spark = docs.sparkSession
     dealt = docs.select("text").mapInArrow(partial(_count, parts=parts), "part int, kind int, sid binary, x binary, y binary, z binary").repartitionById(parts, "part")
-    most = HEAVY * 4 // parts + 1000
-    found = materialize(dealt.select("x", "y").mapInArrow(partial(_totals, most=most), "token long, n long, kinds long"), "counts")
-    total, kinds = found.where("token is null").agg(F.sum("n"), F.sum("kinds")).first()
-    top = found.where("token is not null").orderBy(F.desc("n"), "token").limit(HEAVY).collect()  # HEAVY rows at most
-    heavy = [(r.token, r.n) for r in top]
-    end = END - (1 << 64)
-    if not any(t == end for t, _ in heavy):
-        heavy.insert(0, (end, 0))
-    heavy.sort(key=lambda x: (x[0] != end, -x[1]))  # the end is a symbol in any case
-    model = Model(heavy, total or 0)
-    rows = docs.select("text").mapInArrow(partial(_train, model=model, rate=rate), "block int, n long, w binary")
-    blocks = -(-len(model.weights) // BLOCK)
-    for r in rows.repartition(blocks, "block").mapInArrow(_average, "block int, w binary").collect():  # the model's size
-        model.weights[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.w, np.float32)
-    return model, total or 0, kinds or 0
-
-
-def score_documents(docs: DataFrame, rate: float = RATE) -> DataFrame:
+    found = materialize(dealt.select("x", "y").mapInArrow(partial(_totals, most=HEAVY * 4 // parts + 1000), "token long, leaf long, n long, kinds long"), "counts")
+    rare_n, rare_kinds = np.zeros(RARE, np.int64), np.zeros(RARE, np.int64)
+    for r in found.where("token is null").groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():
+        rare_n[r.leaf], rare_kinds[r.leaf] = r.n, r.kinds
+    total, kinds = int(rare_n.sum()), int(rare_kinds.sum())
+    top = found.where("token is not null").orderBy(F.desc("n"), "token").select("token", "leaf", "n").limit(HEAVY).toArrow()
+    token, leaf, n = (top.column(c).to_numpy() for c in ("token", "leaf", "n"))  # HEAVY rows at most
+    np.subtract.at(rare_n, leaf, n)
+    np.subtract.at(rare_kinds, leaf, 1)
+    model = Model(list(zip(token.tolist(), n.tolist(), strict=True)), rare_n, rare_kinds, total)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // (rounds * TRAIN_BYTES)))
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    for k in range(rounds if total else 0):
+        rows = docs.where(turn == k).select("text").coalesce(tasks).mapInArrow(partial(_observe, model=model), "block int, s binary, e binary")
+        steps = rows.repartition(partitions(spark), "block").mapInArrow(partial(_step, rate=rate), "block int, w binary").toArrow()  # the model's size
+        for b, w in zip(steps.column("block").to_pylist(), steps.column("w").to_pylist(), strict=True):
+            model.weights[b * BLOCK : (b + 1) * BLOCK] += np.frombuffer(w, np.float32).reshape(-1, FAN)
+    return model, total, kinds
+
+
+def score_documents(docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     docs = bounded_batches(docs)
     import math
 
     held_out = fold(F.col("doc_id"), FOLDS) == HELD_OUT
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(16, -(-size // PART_BYTES))
-    model, total, kinds = train(docs.where(~held_out), parts, rate)
+    parts = -(-partitions(docs.sparkSession, size, PART_BYTES) // RARE) * RARE
+    model, total, kinds = train(docs.where(~held_out), parts, size, rate, rounds)
     rows = docs.select("doc_id", "text", held_out.alias("held_out"), F.monotonically_increasing_id().alias("rid"))
     sent = rows.mapInArrow(partial(_score, model=model, parts=parts), SENT).repartitionById(parts, "part")
     summed = sent.mapInArrow(_sum_parts, SUMMED).groupBy("rid")
-    out = summed.agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.max("n_rare").alias("n_rare"), F.sum("n_known").alias("n_known"), F.sum("known").alias("known"), F.sum("model").alias("model"))
-    rare_kinds = kinds - sum(1 for _, n in model.symbols if n)
-    whole, rare = math.log10(total + 0.5 * (kinds + 1)), math.log10(model.rare_n + 0.5 * (rare_kinds + 1))
+    out = summed.agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("known").alias("known"), F.sum("model").alias("model"))
     return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
         "n_known",
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("known") - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("model") - F.col("n_rare") * rare).alias("score"),
+        (F.col("known") - F.col("n_tokens") * math.log10(total + 0.5 * (kinds + 1))).alias("base_score"),
+        F.col("model").alias("score"),
     )
-

@@ -242,13 +242,75 @@ def test_scores(docs, rows):
     assert {r.train_tokens for r in got} == {total} and all(r.score < 0 for r in got)
 
 
-def test_model_is_a_distribution():
-    model = lm_score.Model([(-1, 5), (7, 9), (8, 3)], 30)
-    one, two = model.views(model.weights)
-    p = lm_score._level(one, [], np.array([lm_score.ROWS_1]))[0]
-    q = lm_score._level(two, [], np.array([lm_score.ROWS_2 + 1]))[0]
-    assert p.sum() == pytest.approx(1, abs=1e-5) and q.sum() == pytest.approx(1, abs=1e-5)
-    assert p[0] == pytest.approx(13.5 / 32, abs=1e-3) or p[0] == pytest.approx(13.5 / 32, rel=0.05)
+def test_model_is_a_distribution_and_gives_the_scores(docs, rows, monkeypatch):
+    """After training the chances of all tokens, and an unknown one a rare leaf, sum to 1 in any history; a text's score is their product."""
+    monkeypatch.setattr(lm_score, "HEAVY", 40)  # most words are in rare leaves
+    fold = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+    whole = {False: [], True: []}
+    for i, t, *_ in rows:
+        word = [x for x in re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())]
+        whole[fold(i)].append((i, [*(common.hash_word(x) for x in word), lm_score.END]))
+    c = collections.Counter(x for _, t in whole[False] for x in t)
+    size = sum(len((t or "").encode()) for _, t, *_ in rows)
+    model, total, kinds = lm_score.train(docs.where(~(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1)), 16, size)
+    assert total == sum(c.values()) and kinds == len(c) and np.abs(model.weights).sum() > 1
+    heavy = set(model.token.tolist())
+    assert heavy == set(sorted(c, key=lambda t: (-c[t], t - (1 << 64) if t >> 63 else t))[:40])
+    rare = [sum(c[t] + 0.5 for t in c if t not in heavy and t % 16 == k) + 0.5 for k in range(16)]
+
+    def chance(before, second, leaves):
+        """Of each leaf after a history, one class after the other."""
+        t = np.array([second, before, 0], np.uint64)
+        features = [f[2:] for f in lm_score.histories(t, np.array([0, 3]))]
+        if not before:
+            features = [f[:1] for f in lm_score.histories(t[2:], np.array([0, 1]))]
+        elif not second:
+            features = [f[1:] for f in lm_score.histories(t[1:], np.array([0, 2]))]
+        out = []
+        for leaf in leaves:
+            p = 1.0
+            for node, digit in zip(model.path[leaf], model.digit[leaf], strict=True):
+                if node >= 0:
+                    _, n, _, r = model.decisions(np.array([leaf]), features)
+                    row = [x[n.tolist().index(node)] for x in r]
+                    z = np.exp(model.bias[node].astype(float) + sum(model.weights[x].astype(float) for x in row))
+                    p *= z[digit] / z.sum()
+            out.append(p)
+        return out
+
+    for before, second in ((0, 0), (whole[False][0][1][0], 0), (whole[False][0][1][5], whole[False][0][1][4]), (7, 8)):
+        assert sum(chance(before, second, range(len(model.depth)))) == pytest.approx(1, abs=1e-5)
+    got = collections.defaultdict(list)
+    for r in lm_score.score_documents(docs).collect():
+        got[r.doc_id].append(r.score)
+    for i, t in [*whole[True][:6], *whole[False][:6]]:
+        want = 0
+        for k, x in enumerate(t):
+            leaf = model.token.tolist().index(x) if x in heavy else len(model.token) + x % 16
+            want += math.log10(chance(t[k - 1] if k else 0, t[k - 2] if k > 1 else 0, [leaf])[0])
+            if x not in heavy:
+                want += math.log10((c[x] + 0.5) / rare[x % 16])
+        assert any(math.isclose(want, x, rel_tol=1e-3, abs_tol=1e-3) for x in got[i]), (i, want, got[i])
+    again = lm_score.score_documents(docs.repartition(7)).collect()  # the split does not matter
+    assert np.allclose(sorted(r.score for r in again), sorted(x for xs in got.values() for x in xs), rtol=1e-4, atol=1e-4)
+
+
+def test_more_text_teaches_more(spark):
+    """Held-out texts of a language whose words follow one another score better than by their frequency, and better still after more text."""
+    rng = random.Random(9)
+    word = [f"w{k}" for k in range(60)]
+
+    def text():
+        out = [rng.choice(word)]
+        while len(out) < 80:
+            out.append(word[(int(out[-1][1:]) * 7 + rng.randrange(3)) % 60])
+        return " ".join(out)
+
+    gain = []
+    for n in (20, 400):
+        rows = lm_score.score_documents(spark.createDataFrame([(i, text()) for i in range(n)], "doc_id long, text string")).where("held_out").collect()
+        gain.append(sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows))
+    assert 0 < gain[0] < gain[1] and gain[1] > 0.4
 
 
 def test_decontamination(spark, docs, rows):
