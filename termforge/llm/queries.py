@@ -24,22 +24,22 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in; those labelled toxic go; those of low quality are counted anew by the next tokenizer version."""
+    """All documents come in, counted in words; those labelled toxic go; all that are left are counted anew in tokens of byte_bpe_50k."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     store = token_rollup.RollupStore(spark, f"{shared_dir(spark)}/rollup-{uuid4().hex}")
-    toxic, low = labels.where("toxic = 1").select("doc_id"), labels.where("quality = 0 and toxic = 0").select("doc_id")
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
     # Each text is counted once by each tokenizer; the batches join these small rows.
-    names = ("words-1", "wordpunct-1")
-    counts = materialize(token_rollup.counted(docs, names[0]).unionByName(token_rollup.counted(docs, names[1])), "token_counts")
-    first, second = (counts.where(F.col("tokenizer") == t) for t in names)
+    first, second = (materialize(token_rollup.counted(docs, t), "token_counts") for t in ("words-1", token_rollup.BPE))
     batches = {
         "1-insert": token_rollup.signed(first, 1),
         "2-delete": token_rollup.signed(first.join(toxic, "doc_id", "left_semi"), -1),
-        "3-revise": token_rollup.revision(first.join(low, "doc_id", "left_semi"), second.join(low, "doc_id", "left_semi")),
+        "3-revise": token_rollup.revision(first.join(toxic, "doc_id", "left_anti"), second.join(toxic, "doc_id", "left_anti")),
     }
     for name, rows in [*batches.items(), ("2-delete", batches["2-delete"])]:  # the last is a repeat and adds nothing
         store.commit(name, rows)
-    return store.totals()
+    totals = materialize(store.totals(), "totals")
+    store.drop()
+    return totals
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_token_rollup, op4_repeated_passages, op5_language_id, op6_exact_dedup, op7_personal_data, op8_lm_score, op9_decontamination, op10_best_fit_packing)}
 
 _KEPT = "[^\\x20\\x09-\\x0D]+"
-_PUNCT = token_rollup.PATTERNS["wordpunct-1"]
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ORACLE_SQL = {
@@ -116,13 +115,6 @@ ORACLE_SQL = {
                    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
         SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
-    "op3_token_rollup": rf"""
-        WITH d AS (SELECT d.*, coalesce(text, '') AS x, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1) AS toxic,
-                          EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 0 AND quality = 0) AS low FROM documents d),
-             r AS (SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(x, '{_KEPT}')) AS n, strlen(x) AS b FROM d WHERE NOT toxic AND NOT low
-                   UNION ALL SELECT source, lang, 'words-1', 0, 0 FROM d WHERE false
-                   UNION ALL SELECT source, lang, 'wordpunct-1', len(regexp_extract_all(x, '{_PUNCT}')), strlen(x) FROM d WHERE low)
-        SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens, CAST(sum(b) AS BIGINT) AS n_bytes FROM r GROUP BY ALL""",
     "op6_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,

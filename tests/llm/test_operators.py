@@ -332,9 +332,9 @@ def test_decontamination(spark, docs, rows):
                     names |= who - {None}
         want[(i, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(map(str, names))).encode()).hexdigest(), bool(hit))] += 1
     cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    for block in (decontam.BLOCK_BYTES, 50):  # all at once, and in several passes
-        assert collections.Counter(r[:] for r in decontam.contamination(docs, bench, block_bytes=block).select(*cols).collect()) == want
-        assert decontam.uncontaminated(docs, bench, block_bytes=block).count() == sum(v for k, v in want.items() if not k[5])
+    for block in (decontam.BLOCK_WORDS, 25):  # all at once, and in several passes
+        assert collections.Counter(r[:] for r in decontam.contamination(docs, bench, block_words=block).select(*cols).collect()) == want
+        assert decontam.uncontaminated(docs, bench, block_words=block).count() == sum(v for k, v in want.items() if not k[5])
     assert decontam.contamination(docs, bench.where("false")).where("contaminated").count() == 0
 
 
@@ -445,11 +445,32 @@ def test_rollups(spark, docs, tmp_path):
     assert sorted(map(str, store.totals().collect())) == want
     store.compact()
     assert sorted(map(str, store.totals().collect())) == want and not store.commit("a", rows)
-    (tmp_path / "store/delta/broken").mkdir()  # a batch without its mark does not count
+    (tmp_path / "store/delta/rows-broken").mkdir()  # rows without a mark do not count
+    assert not store._mark("base", "00000001", "rows-late")  # a mark is never replaced
+    assert [f.name for f in (tmp_path / "store/delta").iterdir() if not f.name.startswith(".")] == ["rows-broken"]
     assert store.commit("c", token_rollup.revision(some, token_rollup.counted(docs, token_rollup.BPE).where("source = 's1'"))) and store.batches() == {"a", "b", "c"}
     assert token_rollup.counted(docs, token_rollup.BPE).agg(F.sum("n_tokens")).first()[0] > 0
 
 
+def test_token_rollup_query_equals_brute_force(spark, docs, rows, tmp_path):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    from termforge.llm import queries
+
+    exact = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    spark.createDataFrame([(3, 1, 0), (3, 1, 0), (6, 1, 1), (9, 0, 0), (None, 1, 1)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = collections.defaultdict(lambda: [0, 0, 0])
+    for i, t, lang, source, _ in rows:
+        if i not in (3, 6):
+            for k, n in enumerate((1, len(exact.encode(t or "", add_special_tokens=False).ids), len((t or "").encode()))):
+                want[(source, lang, token_rollup.BPE)][k] += n
+    got = {r[:3]: list(r[3:]) for r in queries.op3_token_rollup(spark, str(tmp_path)).select(*token_rollup.KEYS, *token_rollup.SUMS).collect()}
+    # deleted ones went with the words they came with, revised ones left no words behind
+    assert got == dict(want)
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     for out in (near_dedup.near_duplicates(empty), exact_dedup.exact_duplicates(empty), exact_dedup.distinct_texts(empty), substring_dedup.repeated_passages(empty), language_id.languages_of(empty), pii.personal_data(empty), lm_score.score_documents(empty), decontam.contamination(empty, bench), packing.pack_documents(empty), token_rollup.counted(empty, "words-1")):
