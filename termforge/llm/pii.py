@@ -1,16 +1,24 @@
-"""Personal data and the terms that give it away.
-
-Fixed patterns find emails, addresses, cards and phones. Each distinct value found is a protected entity. Terms are the words
-within REACH words of an occurrence. Over the whole corpus, PMI(entity; term) = log(p(entity, term) / (p(entity) p(term)))
-says how strongly a term reveals an entity; at IC(entity) = -log p(entity) it reveals it entirely. In the documents that
-hold the entity, nearby terms with PMI >= DISCLOSURE * IC are marked too, if at least SUPPORT documents show the pair.
-``sanitized`` replaces marked spans by their kind (terms are generalised to ``<TERM>``, or removed).
-
-Probabilities are by documents. Pairs are made only around occurrences, so their number is linear in the text; document counts of
-terms are made for the terms that are candidates, per task before the shuffle. Offsets are code points, ends exclusive.
-
-Null text is empty and has no spans. Rows without doc_id are judged like others. Rows sharing doc_id and text share their
-marks. An empty table gives an empty result.
+"""Personal data and the terms that give it away: information-theoretic sanitisation.
+
+Fixed patterns find emails, addresses, cards and phones; a further pattern finds secrets (a value assigned to a password, key or
+token). Each distinct value found is a protected entity. Terms are the words of the documents that hold an entity, wherever they
+stand. Over the whole corpus, by documents, IC(entity) = -log p(entity) is all there is to know of an entity, and PMI(entity; term)
+= log(p(entity | term) / p(entity)) is what a term tells of it. p(entity | term) is smoothed by PRIOR documents in which term and entity meet by
+chance: (both + PRIOR * p(entity)) / (with term + PRIOR). So one meeting in one document counts, and counts less than
+several. A term with PMI >= DISCLOSURE * IC discloses the entity: all its occurrences in the documents that hold the entity are
+marked. In other documents, which have no entity to protect from it, it stays. ``sanitized`` replaces marked spans by their
+kind (terms are generalised to ``<TERM>``, or removed).
+
+Scale. Which terms an entity can have is bounded by its documents: for PMI to reach the threshold a term must be in few
+others, so for a rare entity only rare words are looked at. Entities in the same documents share all figures, and so do terms; pairs are made of
+such classes, not of words, so a document with a thousand values and a thousand words found nowhere else makes one pair. Terms'
+document counts are combined by task, dealt to parts by hash and summed; only terms beside an entity leave their part. Hot
+entities and terms meet their figures by broadcast. Offsets are code points, ends exclusive.
+
+Memory: a task holds one Arrow batch and the distinct terms of FLUSH_BYTES of text, or of one longer text.
+
+Null text is empty and has no spans. Rows without doc_id, repeated rows and rows sharing a doc_id are judged each by
+itself. An entity that all documents hold has nothing to disclose. An empty table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -20,16 +28,21 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import BROADCAST_BYTES, WHITE, bounded_batches, chunks, hot_join, materialize, span_hashes, word_spans
-from termforge.llm.substring_dedup import merge_spans
+from termforge.llm.common import WHITE, bounded_batches, chunks, hot_join, materialize, partitions, span_hashes, word_spans
+from termforge.llm.substring_dedup import _by_part, merge_spans
 
-KINDS = ("email", "ip", "card", "phone", "term")
-REACH, SUPPORT, DISCLOSURE = 4, 3, 0.9
+KINDS = ("email", "ip", "card", "phone", "secret", "term")
+BASE = KINDS[:4]
+PRIOR, DISCLOSURE = 1.0, 0.9
+#: Text whose terms a task combines before it sends them on; text for each part.
+FLUSH_BYTES, PART_BYTES = 8 << 20, 256 << 20
 # The patterns of the contract; the look-behinds and possessive parts only skip starts that cannot match.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"
 CARD = r"[0-9]([\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: A name, a sign, and a value of 6 characters or more with a digit in it; the value is the span.
+SECRET = r"(?i:password|passwd|pwd|secret|token|credential|(?:api|access|private|secret|auth)[_-]?key)[\"']?\x20?[=:]\x20?[\"']?((?=[^\s\"',;]*[0-9])[^\s\"',;]{6,})"
 
 
 def luhn(digits: str) -> bool:
@@ -83,150 +96,221 @@ def spans_text(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def _base(batches, reach):
-    """Base spans of each row, and the words near them with their entity."""
-    import hashlib
+def secrets():
+    """text -> the spans of secret values."""
     import re
 
-    import numpy as np
-    import pyarrow as pa
-
-    find, word = finder(), re.compile(r"[^\x20\x09-\x0D]+")
-    edges = "\"'()[]{}<>,.;:!?"
-    near_kind = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("a", pa.int32()), ("b", pa.int32())]))
-    h64 = lambda s: int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
-
-    def nearby(text, spans):
-        words: list[tuple[int, int]] = []
-        out = []
-        taken = merge_spans(np.array([(a, b) for _, a, b in spans], np.int64))
-        free = lambda a, b: np.searchsorted(taken[:, 1], a, "right") >= np.searchsorted(taken[:, 0], b)
-        starts = None
-        for kind, a, b in spans:
-            if starts is None:
-                words = [m.span() for m in word.finditer(text)]
-                starts = np.array([w[0] for w in words])
-            i, j = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b))
-            entity = h64(f"{kind}:{text[a:b].lower()}")
-            for x, y in words[max(0, i - reach) : max(i, 0)] + words[j : j + reach]:
-                term = text[x:y].strip(edges)
-                x += text[x:y].find(term) if term else 0
-                y = x + len(term)
-                if term and free(x, y):
-                    out.append((entity, x, y, term.translate(LOWER)))
-        return out
-
-    for batch in batches:
-        counts = {k: [] for k in KINDS[:4]}
-        sha, base, near = [], [], []
-        for text in batch.column("text"):
-            text = text.as_py() or ""
-            spans = find(text)
-            joined = spans_text(spans)
-            for k in counts:
-                counts[k].append(sum(s[0] == k for s in spans))
-            sha.append(hashlib.sha256(joined.encode()).hexdigest())
-            base.append(joined)
-            near.append(nearby(text, spans) if spans else [])
-        flat = [t for row in near for *_, t in row]
-        hashes = term_hashes(flat)
-        k, rows = 0, []
-        for row in near:
-            rows.append([{"entity": e, "term": hashes[k + i], "a": x, "b": y} for i, (e, x, y, _) in enumerate(row)])
-            k += len(row)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), *(pa.array(counts[c], pa.int64()) for c in counts), pa.array(sha), pa.array(base), pa.array(rows, near_kind)],
-            ["doc_id", "text_key", *(f"n_{c}" for c in counts), "base_sha256", "base", "near"],
-        )
+    secret = re.compile(SECRET)
+    return lambda text: [("secret", *m.span(1)) for m in secret.finditer(text)] if "=" in text or ":" in text else []
 
 
 LOWER = {i: i + 32 for i in range(65, 91)}
+EDGES = "\"'()[]{}<>,.;:!?"
 
 
 def term_hashes(terms: list[str]) -> list[int]:
-    import numpy as np
     import pyarrow as pa
 
     out = []
     for _, data, at in chunks(pa.array(terms, pa.string())):
-        out += span_hashes(data, at[:-1], at[1:]).view(np.int64).tolist()
+        out += span_hashes(data, at[:-1], at[1:]).view("int64").tolist()
     return out
 
 
-EDGES = b"\"'()[]{}<>,.;:!?"
+def terms_of(text: str, spans) -> list[tuple[str, int, int]]:
+    """The words of a text, lower case and without outer punctuation, with their place; those that overlap a span are left out."""
+    import re
 
+    import numpy as np
 
-def _documents_with(batches, terms):
-    """In how many rows each of the given terms (hashes) occurs as a word, its outer punctuation left off."""
+    taken = merge_spans(np.array([(a, b) for _, a, b in spans], np.int64).reshape(-1, 2))
+    words = []
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        word = m[0].lstrip(EDGES)
+        a, word = m.end() - len(word), word.rstrip(EDGES)
+        if word:
+            words.append((word.translate(LOWER), a, a + len(word)))
+    if not len(taken) or not words:
+        return words
+    a, b = np.array([(a, b) for _, a, b in words]).T
+    free = np.searchsorted(taken[:, 1], a, "right") >= np.searchsorted(taken[:, 0], b)
+    return [w for w, ok in zip(words, free.tolist(), strict=True) if ok]
+
+
+def term_counts(column):
+    """(row, hashes of its distinct terms) of consecutive rows of texts, as two arrays: outer punctuation is left off the words."""
     import numpy as np
-    import pyarrow as pa
 
-    total = np.zeros(len(terms), np.int64)
     trim = np.zeros(256, bool)
-    trim[list(EDGES)] = True
-    for batch in batches:
-        for _, data, at in chunks(batch.column("text")):
-            starts, ends, before = word_spans(data, at, ~WHITE)
-            doc = np.repeat(np.arange(len(at) - 1), np.diff(before))
-            while True:  # as many rounds as a word has outer punctuation
-                cut = (starts < ends) & trim[data[np.minimum(starts, len(data) - 1)]]
-                if not cut.any():
-                    break
-                starts = starts + cut
-            while True:
-                cut = (starts < ends) & trim[data[np.maximum(ends - 1, 0)]]
-                if not cut.any():
-                    break
-                ends = ends - cut
-            h = span_hashes(data, starts, ends).view(np.int64)
-            i = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-            hit = terms[i] == h
-            total += np.bincount(np.unique(doc[hit] * len(terms) + i[hit]) % len(terms), minlength=len(terms))
-    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(total)], ["term", "df"])
-
-
-def document_counts(docs: DataFrame, terms: DataFrame, block_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(term, df) for a written table of term hashes, which the documents are read against in blocks of bounded size."""
+    trim[list(EDGES.encode())] = True
+    for row, data, at in chunks(column):
+        starts, ends, before = word_spans(data, at, ~WHITE)
+        doc = np.repeat(np.arange(len(at) - 1), np.diff(before))
+        while True:  # as many rounds as a word has outer punctuation
+            cut = (starts < ends) & trim[data[np.minimum(starts, len(data) - 1)]]
+            if not cut.any():
+                break
+            starts = starts + cut
+        while True:
+            cut = (starts < ends) & trim[data[np.maximum(ends - 1, 0)]]
+            if not cut.any():
+                break
+            ends = ends - cut
+        some = starts < ends
+        h, doc = span_hashes(data, starts[some], ends[some]), doc[some]
+        order = np.lexsort((h, doc))
+        h, doc = h[order], doc[order]
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, bool)
+        yield len(data), doc[new] + row, h[new]
+
+
+GATHERED = "part int, x binary, y binary, rid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_secret long, base_sha256 string, base string, added string, entities array<long>, term long, places binary"
+
+
+def _gather(batches, parts):
+    """A row for each document with its spans and entities; one for each term of a document with entities; counts of all terms for the parts."""
+    import hashlib
+
     import numpy as np
+    import pyarrow as pa
+
+    find, more = finder(), secrets()
+    h64 = lambda s: int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in GATHERED.split(", ")])
+    frame = lambda n, **cols: pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in schema], schema=schema)
+    held, beside, size = [], [], 0
 
-    out, block = None, []
+    def flush():
+        term, n = np.unique(np.concatenate(held), return_counts=True)
+        wanted = np.isin(term, np.array(beside, np.int64).view(np.uint64))
+        sent = _by_part((term % np.uint64(parts)).astype(np.int64), 0, [None, term, n * 2 + wanted, None])
+        yield frame(sent.num_rows, **{c: sent.column(c).to_pylist() for c in ("part", "x", "y")})
 
-    def count(block):
-        found = docs.select("text").mapInArrow(partial(_documents_with, terms=np.unique(np.array(block, np.int64))), "term long, df long")
-        return found.groupBy("term").agg(F.sum("df").alias("df"))
+    for batch in batches:
+        out = {c: [] for c in ("rid", "doc_id", *(f"n_{k}" for k in KINDS[:5]), "base_sha256", "base", "added", "entities")}
+        near = {"rid": [], "term": [], "places": []}
+        ids, rids = batch.column("doc_id").to_pylist(), batch.column("rid").to_pylist()
+        for i, text in enumerate(batch.column("text")):
+            text = text.as_py() or ""
+            base, secret = find(text), more(text)
+            spans = base + secret
+            joined = spans_text(base)
+            for k in KINDS[:5]:
+                out[f"n_{k}"].append(sum(s[0] == k for s in spans))
+            out["rid"].append(rids[i])
+            out["doc_id"].append(ids[i])
+            out["base_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
+            out["base"].append(joined)
+            out["added"].append(spans_text(secret))
+            out["entities"].append(sorted({h64(f"{k}:{text[a:b].lower()}") for k, a, b in spans}))
+            if spans:
+                places: dict[str, list[int]] = {}
+                for word, a, b in terms_of(text, spans):
+                    places.setdefault(word, []).extend((a, b))
+                hashes = term_hashes(list(places))
+                beside += hashes
+                near["rid"] += [rids[i]] * len(hashes)
+                near["term"] += hashes
+                near["places"] += [np.array(p, "<i4").tobytes() for p in places.values()]
+        yield frame(batch.num_rows, **out)
+        if near["rid"]:
+            yield frame(len(near["rid"]), **near)
+        for n, _, h in term_counts(batch.column("text")):
+            held.append(h)
+            size += n
+            if size >= FLUSH_BYTES:
+                yield from flush()
+                held, beside, size = [], [], 0
+    if held:
+        yield from flush()
+
+
+def _documents_with(batches):
+    """(term, df) of the parts' terms that stand beside an entity somewhere."""
+    import numpy as np
+    import pyarrow as pa
 
-    for row in terms.toLocalIterator():
-        block.append(row.term)
-        if len(block) * 8 >= block_bytes:
-            out, block = count(block) if out is None else out.union(count(block)), []
-    if block or out is None:
-        part = count(block) if block else docs.sparkSession.createDataFrame([], "term long, df long")
-        out = part if out is None else out.union(part)
+    x, y = [], []
+    for batch in batches:
+        x += [np.frombuffer(b.as_py(), np.int64) for b in batch.column("x")]
+        y += [np.frombuffer(b.as_py(), np.int64) for b in batch.column("y")]
+    if x:
+        y = np.concatenate(y)
+        term, back = np.unique(np.concatenate(x), return_inverse=True)
+        df = np.bincount(back, y >> 1, len(term)).astype(np.int64)
+        wanted = np.bincount(back, y & 1, len(term)) > 0
+        yield pa.RecordBatch.from_arrays([pa.array(term[wanted]), pa.array(df[wanted])], ["term", "df"])
+
+
+def personal_data(docs: DataFrame, prior: float = PRIOR, disclosure: float = DISCLOSURE) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (``kind:start:end`` joined), then n_secret, n_term and n_spans."""
+    return _spans(_numbered(docs), prior, disclosure).drop("rid")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return bounded_batches(docs).select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
+
+
+def _spans(numbered: DataFrame, prior: float, disclosure: float) -> DataFrame:
+    """The result with each row's number."""
+    spark = numbered.sparkSession
+    size = numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = partitions(spark, size, PART_BYTES)
+    found = materialize(numbered.mapInArrow(partial(_gather, parts=parts), GATHERED), "gathered")
+    base = found.where("base is not null").drop("part", "x", "y", "term", "places")
+    near = found.where("term is not null").select("rid", "term", "places")
+    total, held, beside = found.agg(F.count("base"), F.coalesce(F.sum(F.size(F.coalesce("entities", F.array()))), F.lit(0)), F.count("term")).first()
+    n = F.lit(float(max(total, 1)))
+    result = lambda terms: base.join(terms, "rid", "left") if terms is not None else base.withColumn("terms", F.lit(None).cast("array<struct<a:int,b:int>>"))
+    marked = None
+    if held:
+        # Entities: their documents, the most documents a term may be in to disclose them, and what tells their sets of documents apart.
+        sets = (F.count("*").alias("docs"), F.bit_xor(F.xxhash64("rid")).alias("s1"), F.bit_xor(F.xxhash64("rid", F.lit(1))).alias("s2"))
+        holds = base.where("size(entities) > 0").select("rid", F.explode("entities").alias("entity"))
+        entities = holds.groupBy("entity").agg(*sets)
+        # p(entity | term) that makes PMI reach the threshold
+        entities = entities.where(F.col("docs") < n).withColumn("least", F.pow(F.col("docs") / n, F.lit(1 - disclosure)))
+        most = F.floor((F.col("docs") + prior * F.col("docs") / n) / F.col("least") - prior + 1e-9)
+        entities = materialize(entities.select("entity", "docs", F.xxhash64("docs", "s1", "s2").alias("ec"), "least", most.alias("most")), "entities")
+        holds = materialize(hot_join(holds, entities.withColumn("times", F.col("docs")), "entity", "times", held).select("rid", "ec", "docs", "least", "most").distinct(), "holds")
+        # Terms that are rare enough for one of their document's entities.
+        dealt = found.where("x is not null").select("part", "x", "y").repartitionById(parts, "part")
+        counts = dealt.select("x", "y").mapInArrow(_documents_with, "term long, df long")
+        counts = materialize(counts.join(near.groupBy("term").agg(F.count("*").alias("times")), "term"), "terms")
+        bound = holds.groupBy("rid").agg(F.max("most").alias("upto"))
+        near_counted = hot_join(near.select("rid", "term"), counts, "term", "times", beside)
+        rare = materialize(near_counted.join(bound, "rid").where("df <= upto").select("rid", "term", "df"), "rare")
+        classes = rare.groupBy("term").agg(*sets, F.first("df").alias("df")).select("term", F.col("docs").alias("times"), F.xxhash64("df", "docs", "s1", "s2").alias("tc"))
+        rare = materialize(hot_join(rare, classes, "term", "times", rare.count()), "classed")
+        met = holds.join(rare.select("rid", "tc", "df").distinct(), "rid").where("df <= most")
+        told = materialize(met.groupBy("ec", "tc").agg(F.count("*").alias("both"), F.first("docs").alias("docs"), F.first("df").alias("df"), F.first("least").alias("least")), "met")
+        all_met = told.agg(F.coalesce(F.sum("both"), F.lit(0))).first()[0]
+        chance = (F.col("both") + prior * F.col("docs") / n) / (F.greatest("df", "both") + prior)
+        told = materialize(told.where(chance >= F.col("least") - 1e-12).select("ec", "tc", "both"), "disclosed")
+        hit = hot_join(met.select("rid", "ec", "tc"), told, ["ec", "tc"], "both", all_met).select("rid", "tc").distinct()
+        places = rare.join(hit, ["rid", "tc"]).select("rid", "term").join(near, ["rid", "term"]).select("rid", "places")
+        marked = places.groupBy("rid").agg(F.collect_list("places").alias("places")).mapInArrow(_pairs, "rid long, terms array<struct<a:int,b:int>>")
+    terms_text = F.array_join(F.transform("terms", lambda x: F.concat_ws(":", F.lit("term"), x["a"], x["b"])), ",")
+    spans = F.concat_ws(",", *(F.when(F.col(c) != "", F.col(c)) for c in ("base", "added")), F.when(F.size("terms") > 0, terms_text))
+    n_term = F.size(F.coalesce("terms", F.array())).cast("long")
+    counted = sum((F.col(f"n_{k}") for k in KINDS[:5]), n_term)
+    out = result(marked).select("rid", "doc_id", *(f"n_{k}" for k in BASE), "base_sha256", spans.alias("spans"), "n_secret", n_term.alias("n_term"), counted.alias("n_spans"))
     return out
 
 
-def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (``kind:start:end`` joined), and the spans of terms."""
-    docs = bounded_batches(docs)
-    kind = "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:long,term:long,a:int,b:int>>"
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    base = materialize(keyed.mapInArrow(partial(_base, reach=reach), kind), "base")
-    total, rows = base.agg(F.count("*"), F.coalesce(F.sum(F.size("near")), F.lit(0))).first()
-    near = base.where("size(near) > 0").select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    # Once a document, then counted: the hot entity of a group of copies is combined per task before the shuffle.
-    pairs = near.groupBy("doc_id", "text_key", "entity", "term").agg(F.count("*").alias("times")).groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pairs = materialize(pairs.where(F.col("both") >= support), "pairs")
-    entities = near.select("doc_id", "text_key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    terms = document_counts(docs, materialize(pairs.select("term").distinct(), "terms"))
-    n = F.lit(float(max(total, 1)))
-    pmi = F.log(F.col("both") * n / (F.col("with_entity") * F.greatest("df", "both")))
-    told = pairs.join(entities, "entity").join(terms, "term").where((F.col("with_entity") < n) & (pmi >= disclosure * F.log(n / F.col("with_entity"))))
-    told = materialize(told.select("entity", "term", "both"), "disclosed")
-    marked = hot_join(near, told, ["entity", "term"], "both", rows).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("terms"))
-    out = base.alias("l").join(marked.alias("r"), (F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))) & (F.col("l.text_key") == F.col("r.text_key")), "left")
-    terms_text = F.array_join(F.transform("r.terms", lambda x: F.concat_ws(":", F.lit("term"), x["a"], x["b"])), ",")
-    spans = F.concat_ws(",", F.when(F.col("l.base") != "", F.col("l.base")), terms_text)
-    return out.select("l.doc_id", "l.n_email", "l.n_ip", "l.n_card", "l.n_phone", "l.base_sha256", spans.alias("spans"), F.size(F.coalesce("r.terms", F.array())).cast("long").alias("n_term"))
+def _pairs(batches):
+    """The places of a document's marked terms, in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    for batch in batches:
+        rows = []
+        for own in batch.column("places").to_pylist():
+            pairs = np.frombuffer(b"".join(own), "<i4").reshape(-1, 2)
+            rows.append([{"a": a, "b": b} for a, b in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist()])
+        yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(rows, kind)], ["rid", "terms"])
 
 
 def sanitize_text(text: str | None, spans: str | None, generalise: bool = True) -> str | None:
@@ -250,7 +334,8 @@ def _sanitize(batches, generalise):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
 
 
-def sanitized(docs: DataFrame, spans: DataFrame, generalise: bool = True) -> DataFrame:
-    """doc_id and the text with the spans of ``personal_data`` generalised. doc_id must be unique and not null."""
-    rows = docs.select("doc_id", "text").join(spans.select("doc_id", "spans"), "doc_id", "left")
-    return rows.mapInArrow(partial(_sanitize, generalise=generalise), "doc_id long, text string")
+def sanitized(docs: DataFrame, generalise: bool = True, prior: float = PRIOR, disclosure: float = DISCLOSURE) -> DataFrame:
+    """doc_id and the text of every row, its spans generalised. Repeated rows and rows without doc_id come back each with its own text."""
+    numbered = materialize(_numbered(docs), "rows")  # the rows are read twice and must keep their numbers
+    some = _spans(numbered, prior, disclosure).where("n_spans > 0").select("rid", "spans")
+    return numbered.join(some, "rid", "left").mapInArrow(partial(_sanitize, generalise=generalise), "doc_id long, text string")

@@ -223,11 +223,78 @@ def test_personal_data(docs, rows):
     got = pii.personal_data(docs).collect()
     want = collections.Counter((i, hashlib.sha256(pii.spans_text(spans(t or "")).encode()).hexdigest()) for i, t, *_ in rows)
     assert collections.Counter((r.doc_id, r.base_sha256) for r in got) == want
-    # what stands beside the entity of four documents, and nowhere else, gives it away
-    text = {i: t for i, t, *_ in rows if i is not None}
-    told = {r.doc_id: [text[r.doc_id][int(a) : int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",")) if k == "term"] for r in got if r.n_term}
-    assert len(told) == 4 and all("token" in x for x in told.values())
     assert pii.sanitize_text("mail a@b.c now", "email:5:10") == "mail <EMAIL> now" and pii.sanitize_text("x secret", "term:2:8", generalise=False) == "x "
+    assert [t[a:b] for t in ('my password=abc123x, "api_key": "Zz9-hello" token: short1 token: nodigits',) for _, a, b in pii.secrets()(t)] == ["abc123x", "Zz9-hello", "short1"]
+
+
+def brute_terms(texts, prior=1.0, disclosure=0.9):
+    """For each text the places of the terms that disclose one of its entities, counted pair by pair."""
+    find, more = pii.finder(), pii.secrets()
+    n, own, terms = len(texts), [], []
+    for t in texts:
+        spans = find(t) + more(t)
+        own.append({(k, t[a:b].lower()) for k, a, b in spans})
+        words = []
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", t):
+            w = m[0].strip(pii.EDGES)
+            a = m.start() + len(m[0]) - len(m[0].lstrip(pii.EDGES))
+            if w:
+                words.append(("".join(c.lower() if "A" <= c <= "Z" else c for c in w), a, a + len(w), any(a < y and x < a + len(w) for _, x, y in spans)))
+        terms.append(words)
+    df = collections.Counter(w for words in terms for w in {x[0] for x in words})
+    holds = collections.Counter(e for es in own for e in es)
+    both = collections.Counter((e, w) for es, words in zip(own, terms, strict=True) for e in es for w in {x[0] for x in words if not x[3]})
+    out = []
+    for es, words in zip(own, terms, strict=True):
+        tell = set()
+        for e in es:
+            p = holds[e] / n
+            for w in {x[0] for x in words}:
+                pmi = math.log((both[e, w] + prior * p) / (df[w] + prior) / p)
+                if holds[e] < n and both[e, w] and pmi >= disclosure * -math.log(p) - 1e-9:
+                    tell.add(w)
+        out.append([(a, b) for w, a, b, over in words if w in tell and not over])
+    return out
+
+
+def test_terms_that_disclose_equal_brute_force(spark, docs, rows):
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(40)]
+    who = [("ann@x.org", "Ann", "hill-street"), ("bob@y.org", "Bob", "(pond)"), ("10.1.2.3", "server", "rack"), ("password=q1w2e3r4", "vault", "Door")]
+    texts = []
+    for k in range(60):
+        w = words(rng, rng.randrange(5, 40), vocabulary).split()
+        if k % 3 == 0:
+            for e in rng.sample(who, rng.randrange(1, 3)):
+                for x in e:
+                    w.insert(rng.randrange(len(w)), x)
+        if k % 7 == 0:
+            w.append(f"only{k} once{k}!")  # found in one document
+        if k == 33:
+            w += ["hill-street", "w3", "é,", "Ünique\U0001f600,"]
+        texts.append(" ".join(w))
+    texts += [texts[0], texts[0], None, "", "solo@z.org", "common ann@x.org"] + [t for _, t, *_ in rows]
+    ids = list(range(len(texts)))
+    ids[3], ids[4], ids[5] = None, None, 1  # rows without id, two rows of one id
+    table = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], "doc_id long, text string, rid int").repartition(4)
+    want = brute_terms([t or "" for t in texts])
+    assert sum(map(len, want)) > 50 and len({t[a:b] for t, own in zip(texts, want, strict=True) for a, b in own}) > 10
+    got = pii.personal_data(table).collect()
+    spans = lambda r: tuple((int(a), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "term")
+    assert collections.Counter((r.doc_id, spans(r)) for r in got) == collections.Counter((i, tuple(x)) for i, x in zip(ids, want, strict=True))
+    assert all(r.n_term == len(spans(r)) and r.n_spans == len([x for x in r.spans.split(",") if x]) for r in got)
+    # each row comes back with its own text, and no protected value or term that discloses it is left
+    clean = collections.Counter((r.doc_id, r.text) for r in pii.sanitized(table).collect())
+    full = {(r.doc_id, r.spans) for r in got}
+    assert clean == collections.Counter((i, pii.sanitize_text(t, next(s for d, s in full if d == i and (t is None or spans_fit(t, s, x))))) for i, t, x in zip(ids, texts, want, strict=True))
+    assert not any("ann@x.org" in (t or "") or "q1w2" in (t or "") for _, t in clean)
+    assert pii.sanitized(table, generalise=False).where("text like '%<TERM>%'").count() == 0
+
+
+def spans_fit(text, spans, terms):
+    """Whether ``spans`` are those of this text, among rows of one id."""
+    base = pii.spans_text(pii.finder()(text) + pii.secrets()(text))
+    return spans == ",".join(x for x in (base, pii.spans_text([("term", a, b) for a, b in terms])) if x)
 
 
 def test_scores(docs, rows):
