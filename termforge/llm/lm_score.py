@@ -169,6 +169,12 @@ class Model:
         self.bits = min(MAX_BITS, max(MIN_BITS, int(total // ROW_TOKENS).bit_length()))
         self.weights = np.zeros((1 << self.bits, FAN), np.float32)
 
+    def __setstate__(self, state):
+        import numpy as np
+
+        # an unpickled array has a dtype object of its own, with which ufunc.at takes its slow path, some 20 times slower
+        self.__dict__ = {k: v.view(v.dtype.type) if isinstance(v, np.ndarray) else v for k, v in state.items()}
+
     def lookup(self, t):
         """Each token's leaf, its count if it is heavy, and whether it is."""
         import numpy as np
