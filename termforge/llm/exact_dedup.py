@@ -25,8 +25,10 @@ from termforge.llm.common import NULL_ID, bounded_batches, keyed_join, materiali
 
 #: Leading bytes in a splitter.
 PREFIX = 32
-#: Rows of a range on average; with more rows there are more ranges. Sampled rows for each range.
-PART_ROWS, SAMPLED = 500_000, 40
+#: Rows and bytes of a range at most on average; with more there are more ranges. Sampled rows for each range.
+PART_ROWS, PART_BYTES, SAMPLED = 500_000, 512 << 20, 20
+#: What a row takes besides its text, when ranges are cut.
+ROW_BYTES = 200
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -60,12 +62,13 @@ def _normal(column):
 
 def _sampled(batches):
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     for batch in batches:
         if batch.num_rows:
             norm, sha = _normal(batch.column("text"))
             keys = _place_keys(norm, sha, batch.column("sid").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array([k.ljust(PREFIX + 40, b"\0") for k in keys.tolist()], pa.binary())], ["key"])
+            yield pa.RecordBatch.from_arrays([pa.array([k.ljust(PREFIX + 40, b"\0") for k in keys.tolist()], pa.binary()), pc.binary_length(norm).cast(pa.int64())], ["key", "n"])
 
 
 def _dealt(batches, splitters):
@@ -81,16 +84,18 @@ def _dealt(batches, splitters):
 
 
 def splitters_of(rows: DataFrame, parts: int, total: int):
-    """The keys that cut ``rows`` (sid, text) into ``parts`` ranges, from about SAMPLED rows a range."""
+    """The keys that cut ``rows`` (sid, text) into at most ``parts`` ranges of like bytes, from about SAMPLED rows a range."""
     import numpy as np
 
     if parts < 2:
         return np.zeros(0, f"S{PREFIX + 40}")
     share = min(1.0, SAMPLED * parts / max(total, 1))
     some = rows.sample(share, 5) if share < 1 else rows
-    # SAMPLED keys of 72 bytes a range: the bound of what reaches the driver.
-    keys = np.sort(np.array(some.mapInArrow(_sampled, "key binary").toArrow().column("key").to_pylist(), f"S{PREFIX + 40}"))
-    return np.unique(keys[np.arange(1, parts) * len(keys) // parts]) if len(keys) else keys
+    found = some.mapInArrow(_sampled, "key binary, n long").toArrow()  # SAMPLED keys of 72 bytes a range: the bound of what reaches the driver
+    keys = np.array(found.column("key").to_pylist(), f"S{PREFIX + 40}")
+    order = np.argsort(keys, kind="stable")
+    upto = np.cumsum(found.column("n").to_numpy()[order] + ROW_BYTES)
+    return np.unique(keys[order][np.searchsorted(upto, upto[-1] * np.arange(1, parts) / parts)]) if len(keys) else keys
 
 
 RUNS = "part int, run long, sid long, first boolean, keep long, size long, sha binary, border binary"
@@ -161,8 +166,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 of the normalised text."""
     docs = bounded_batches(docs)
     spark = docs.sparkSession
-    total = docs.count()
-    parts = partitions(spark, total, PART_ROWS)
+    total, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(partitions(spark, total, PART_ROWS), partitions(spark, size, PART_BYTES))
     rows = with_sid(docs, "text").select("sid", "text")
     dealt = rows.mapInArrow(partial(_dealt, splitters=splitters_of(rows, parts, total)), "part int, sid long, norm binary, sha binary")
     ordered = dealt.repartitionById(parts, "part").sortWithinPartitions("norm", "sid")
