@@ -5,8 +5,9 @@ words, ordered by rarity over all documents, the necessary prefix is its rarest
 cannot hold the window. Each occurrence of a prefix word in a document is a candidate; position and length bounds
 drop those whose window would not fit, and the words of the window are compared one by one.
 
-Benchmark items are broadcast in blocks of at most BLOCK_BYTES; a larger benchmark takes several passes over the documents,
-whose hits are merged per document. A window's hits in a document are word positions, so nothing is shuffled for one block.
+The windows of benchmark items are sent to all tasks in blocks of about BLOCK_WORDS words of items, some 100 bytes a window; a larger
+benchmark takes several passes over the documents, whose hits are merged per document. A window's hits in a document are
+word positions, so nothing is shuffled for one block. An item longer than a block is a block alone.
 
 Null text, or text without words, is never hit and no item. Repeated items count once; windows of an item without an
 item_id hit words but name no item. An empty table of documents gives an empty result; without benchmark nothing is hit.
@@ -14,6 +15,7 @@ item_id hit words but name no item. An empty table of documents gives an empty r
 
 from __future__ import annotations
 
+import re
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 
 from termforge.llm.common import ALNUM, bounded_batches, chunks, span_hashes, word_spans
 
-WINDOW, BLOCK_BYTES = 10, 8 << 20
+WINDOW, BLOCK_WORDS = 10, 300_000
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def _tally(batches, words):
@@ -36,7 +39,8 @@ def _tally(batches, words):
             h = span_hashes(data, starts, ends)
             i = np.minimum(np.searchsorted(words, h), max(len(words) - 1, 0))
             total += np.bincount(i[words[i] == h], minlength=len(words))
-    yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(total)], ["word", "n"])
+    some = total > 0  # a task sends on what it has, not a row for every word
+    yield pa.RecordBatch.from_arrays([pa.array(words[some].view(np.int64)), pa.array(total[some])], ["word", "n"])
 
 
 def item_windows(items, window: int):
@@ -101,22 +105,27 @@ def _index(items, windows, rarity, window):
 
     size = np.array([len(w) // 8 for _, w in windows], np.int64)
     words = np.zeros((len(windows), window), np.uint64)
-    for i, (_, w) in enumerate(windows):
-        words[i, : size[i]] = np.frombuffer(w, np.uint64)
-    offset = np.array([min(range(size[i]), key=lambda j: (rarity[int(words[i, j])], int(words[i, j]), j)) for i in range(len(windows))], np.int64)
+    inside = np.arange(window) < size[:, None]
+    words[inside] = np.frombuffer(b"".join(w for _, w in windows), np.uint64)
+    # the rarest word of each window, of equally rare ones the least hash, of equal ones the first place
+    known, often = rarity
+    n = np.full(words.shape, np.iinfo(np.int64).max)
+    n[inside] = often[np.searchsorted(known, words[inside])]
+    least = n == n.min(1, keepdims=True)
+    offset = np.where(least, words, np.uint64(0xFFFFFFFFFFFFFFFF)).argmin(1)
     key = words[np.arange(len(windows)), offset] if len(windows) else np.zeros(0, np.uint64)
     rows = np.argsort(key, kind="stable")
     keys, first = np.unique(key[rows], return_index=True)
     return keys, np.append(first, len(rows)), rows, offset, size, words, [items[i][0] for i, _ in windows]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int):
+def _blocks(benchmark: DataFrame, block_words: int):
     """The items in lists of bounded size, read one at a time."""
     block, held, any_ = [], 0, False
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").toLocalIterator():
         block.append((row.item_id, row.text))
-        held += len(row.text.encode())
-        if held > block_bytes:
+        held += sum(1 for _ in ITEM_WORD.finditer(row.text))
+        if held > block_words:
             yield block
             block, held, any_ = [], 0, True
     if block or not any_:
@@ -129,11 +138,11 @@ def _block_index(docs: DataFrame, block: list[tuple], window: int):
 
     windows = item_windows(block, window)
     words = np.unique(np.frombuffer(b"".join(w for _, w in windows), np.uint64))
-    rarity = {}
+    often = np.zeros(len(words), np.int64)
     if len(words):
-        counts = docs.select("text").mapInArrow(partial(_tally, words=words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        rarity = {r.word & 0xFFFFFFFFFFFFFFFF: r.n for r in counts.collect()}  # the words of one block
-    return _index(block, windows, {int(w): rarity.get(int(w), 0) for w in words}, window)
+        counts = docs.select("text").mapInArrow(partial(_tally, words=words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+        often[np.searchsorted(words, counts.column("word").to_numpy().view(np.uint64))] = counts.column("n").to_numpy()  # the words of one block
+    return _index(block, windows, (words, often), window)
 
 
 def _pass(docs: DataFrame, block: list[tuple], window: int) -> DataFrame:
@@ -153,18 +162,18 @@ def _keep_clean(batches, index, window):
         yield batch.filter(pc.equal(pc.list_value_length(found.column("spans")), 0))
 
 
-def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs``, all columns, without a hit; each block of items filters what the one before left."""
     docs = bounded_batches(docs)
     out = docs
-    for block in _blocks(benchmark, block_bytes):
+    for block in _blocks(benchmark, block_words):
         out = out.mapInArrow(partial(_keep_clean, index=_block_index(docs, block, window), window=window), docs.schema)
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the spans (word positions) and items themselves."""
-    blocks = [_pass(docs, block, window) for block in _blocks(benchmark, block_bytes)]
+    blocks = [_pass(docs, block, window) for block in _blocks(benchmark, block_words)]
     hits = blocks[0]
     if len(blocks) > 1:
         # Rows are told apart by id and text; equal rows come back as often as they went in.
