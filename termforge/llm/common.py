@@ -27,12 +27,13 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one in local runs, else one in the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="termforge-")
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        base = tempfile.mkdtemp(prefix="termforge-") if alone else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/termforge-tmp"
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
     return base.rstrip("/")
@@ -172,11 +173,39 @@ def word_spans(data: np.ndarray, at: np.ndarray, word: np.ndarray) -> tuple[np.n
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray = BYTE_CODE_LOWER) -> np.ndarray:
-    """64-bit hashes of the spans' bytes (A-Z as a-z with the default codes), whatever their place."""
+    """64-bit hashes of the spans' bytes (A-Z as a-z with the default codes), whatever their place; spans are ordered by start.
+
+    A longer text is handled in pieces, so the tables of powers hold some 2 * CHUNK_BYTES whatever its length.
+    """
+    if len(data) > 2 * CHUNK_BYTES:
+        out = np.empty(len(starts), np.uint64)
+        long = ends - starts > CHUNK_BYTES
+        for i in np.flatnonzero(long).tolist():
+            out[i] = _long_hash(data[starts[i] : ends[i]], code)
+        short = np.flatnonzero(~long)
+        cuts = np.searchsorted(starts[short], np.arange(0, len(data) + CHUNK_BYTES, CHUNK_BYTES)).tolist()
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            own = short[i:j]
+            if len(own):
+                low, high = starts[own[0]], ends[own].max()
+                out[own] = span_hashes(data[low:high], starts[own] - low, ends[own] - low, code)
+        return out
     power, inverse = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(code[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _LENGTH)
+
+
+_LENGTH = _U(0xD6E8FEB86659FD93)
+
+
+def _long_hash(data: np.ndarray, code: np.ndarray) -> np.uint64:
+    power, _ = powers(CHUNK_BYTES)
+    total = 0
+    for k in range(0, len(data), CHUNK_BYTES):
+        piece = data[k : k + CHUNK_BYTES]
+        total += int((code[piece] * power[: len(piece)]).sum(dtype=np.uint64)) * pow(POLY, k, 1 << 64)
+    return mix(np.array([total % (1 << 64)], np.uint64) + np.array([len(data)], np.uint64) * _LENGTH)[0]
 
 
 def hash_word(word: bytes, code: np.ndarray = BYTE_CODE_LOWER) -> int:

@@ -14,7 +14,9 @@ A byte goes if a string of LENGTH bytes over it also starts in a document with a
 Anchor hashes only select; every match is of bytes (surroundings are compared by 128-bit hashes, suffixes by rank).
 
 Null text is empty. Rows without doc_id come last in order and can only lose bytes. Rows sharing a doc_id never match each
-other; if their texts differ, the spans found in any of them are removed from each. An empty table gives an empty result.
+other; if their texts differ, the spans found in any of them are removed from each. An empty table gives an empty result. Extra
+columns are not read. A long text is handled in pieces of 1 MB and its surroundings in pieces of FLUSH_BYTES, so a task holds it a
+few times, whatever its length.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termforge.llm.common import BYTE_CODE, bounded_batches, chunks, keyed_join, materialize, mix, partitions, powers, span_hashes, text_buffers, with_sid
+from termforge.llm.common import BYTE_CODE, CHUNK_BYTES, bounded_batches, chunks, keyed_join, materialize, mix, partitions, powers, span_hashes, text_buffers, with_sid
 
 LENGTH, GRAM = 50, 24
 #: Text, or gathered surroundings, that a task combines before it sends them on; text for each part of the anchors.
@@ -49,6 +51,10 @@ def anchors(data, at, length, gram):
     n, width = len(data), length - gram + 1
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if n > 2 * CHUNK_BYTES and len(at) == 2:  # one long text: in pieces that share all windows among them
+        found = [(k + p, h) for k in range(0, n - length + 1, CHUNK_BYTES) for p, h in [anchors(data[k : k + CHUNK_BYTES + length - 1], np.array([0, min(CHUNK_BYTES + length - 1, n - k)]), length, gram)]]
+        pos, first = np.unique(np.concatenate([p for p, _ in found]), return_index=True)
+        return pos, np.concatenate([h for _, h in found])[first]
     power, inverse = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE_CODE[data] * power[:n], out=total[1:])
@@ -223,21 +229,24 @@ def _send_contexts(batches, length, gram, parts):
     for batch in batches:
         ids, wanted = batch.column("sid").to_numpy(), batch.column("x").to_pylist()
         data, at = text_buffers(batch.column("text"))
-        for i, own in enumerate(wanted):
-            text, pos = data[at[i] : at[i + 1]], np.unique(np.frombuffer(own, np.int32)).astype(np.int64)
+        for i, anchored in enumerate(wanted):
+            text, pos = data[at[i] : at[i + 1]], np.unique(np.frombuffer(anchored, np.int32)).astype(np.int64)
             pos = pos[pos + gram <= len(text)]
             if not len(pos):
                 continue
             frame = np.zeros(len(text) + back + padded, np.uint8)
             frame[back : back + len(text)] = text
-            ctx = np.zeros((len(pos), padded), np.uint8)
-            ctx[:, :width] = np.lib.stride_tricks.sliding_window_view(frame, width)[pos]
-            low, high = np.maximum(back - pos, 0), np.minimum(len(text) - pos + back, width)
-            held.append((np.full(len(pos), ids[i]), pos, span_hashes(text, pos, pos + gram, BYTE_CODE), low.astype(np.uint8), high.astype(np.uint8), ctx))
-            size += ctx.nbytes
-            if size >= FLUSH_BYTES:
-                yield from flush()
-                held, size = [], 0
+            windows = np.lib.stride_tricks.sliding_window_view(frame, width)
+            for k in range(0, len(pos), FLUSH_BYTES // padded):  # a long text's surroundings go in pieces
+                own = pos[k : k + FLUSH_BYTES // padded]
+                ctx = np.zeros((len(own), padded), np.uint8)
+                ctx[:, :width] = windows[own]
+                low, high = np.maximum(back - own, 0), np.minimum(len(text) - own + back, width)
+                held.append((np.full(len(own), ids[i]), own, span_hashes(text, own, own + gram, BYTE_CODE), low.astype(np.uint8), high.astype(np.uint8), ctx))
+                size += ctx.nbytes
+                if size >= FLUSH_BYTES:
+                    yield from flush()
+                    held, size = [], 0
     if held:
         yield from flush()
 

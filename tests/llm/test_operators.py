@@ -538,6 +538,42 @@ def test_token_rollup_query_equals_brute_force(spark, docs, rows, tmp_path):
     assert got == dict(want)
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 100, 9000).astype(np.uint8)
+    data[rng.integers(0, 9000, 600)] = 32
+    data[2000:5500] = 120  # one word longer than several pieces
+    at = np.array([0, len(data)])
+    spans = common.word_spans(data, at, ~common.WHITE)[:2]
+    whole, (pos, h) = common.span_hashes(data, *spans), substring_dedup.anchors(data, at, 50, 24)
+    monkeypatch.setattr(common, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 700)
+    assert (common.span_hashes(data, *spans) == whole).all()
+    again = substring_dedup.anchors(data, at, 50, 24)
+    assert (again[0] == pos).all() and (again[1] == h).all()
+
+
+def test_one_long_text_among_short_ones(spark):
+    """A text of 12 MB, with a copy that differs at its end, goes through every operator."""
+    rng = random.Random(12)
+    word = [f"{a}{b}" for a in "the and wh ing ou er".split() for b in "tion ly ed sh at".split()]
+    text = " ".join(" ".join(rng.choices(word, k=50)) + f" mail{k}@x.org" * (k % 900 == 0) for k in range(46_000))
+    docs = spark.createDataFrame([(1, text, "en", "a"), (2, text + " one more", "en", "a"), (3, "some other text", "en", "b"), (4, text[:4000], "en", "b")], "doc_id long, text string, lang string, source string").repartition(2).cache()
+    assert len(text) > 12 << 20
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert [r.group_size for r in exact_dedup.exact_duplicates(docs).collect()] == [1] * 4
+    gone = {r.doc_id: r.n_removed for r in substring_dedup.repeated_passages(docs).collect()}
+    assert gone[1] < 1000 and gone[2] >= len(text) and gone[3] == 0 and gone[4] == 4000
+    assert {r.lang_pred for r in language_id.languages_of(docs).collect()} == {"en"}
+    assert {r.doc_id: r.n_email for r in pii.personal_data(docs).collect()} == {1: 52, 2: 52, 3: 0, 4: 1}
+    assert {r.doc_id: r.n_tokens for r in lm_score.score_documents(docs).collect()}[1] == len(text.split()) + 1
+    bench = spark.createDataFrame([(7, text[-120:])], "item_id long, text string")
+    assert [r.doc_id for r in decontam.contamination(docs, bench).where("contaminated").collect()] == [1, 2]
+    packed = packing.pack_documents(docs).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert max(r.n for r in packed) <= 2048 and sum(r.n for r in packed) > 4_000_000
+    docs.unpersist()
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     for out in (near_dedup.near_duplicates(empty), exact_dedup.exact_duplicates(empty), exact_dedup.distinct_texts(empty), substring_dedup.repeated_passages(empty), language_id.languages_of(empty), pii.personal_data(empty), lm_score.score_documents(empty), decontam.contamination(empty, bench), packing.pack_documents(empty), token_rollup.counted(empty, "words-1")):
