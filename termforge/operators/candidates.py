@@ -19,10 +19,28 @@ ENTRY = ("entry_seq", "value_seq", "entry_type", "canonical", "value", "specific
 
 
 def has_candidate(dictionary: DataFrame, text: Column) -> Column:
-    """Whether any value, with or without canonical, is in ``text``; for dictionaries of at most ARRAY_VALUES values."""
+    """Whether any value, with or without canonical, is in ``text``; beyond ARRAY_VALUES values, by an automaton."""
     values = [r.value.lower() for r in dictionary.select("value").distinct().limit(ARRAY_VALUES + 1).collect()]
     if len(values) > ARRAY_VALUES:
-        raise ValueError("too many values; join find_candidates instead")
+        values = [r.value for r in dictionary.select(F.lower("value").alias("value")).distinct().toLocalIterator()]
+
+        @F.arrow_udf("boolean")
+        def held(texts):
+            import ahocorasick
+            import pyarrow as pa
+
+            automaton = _automata.get(len(values))
+            if automaton is None:
+                automaton = ahocorasick.Automaton()
+                for v in values:
+                    automaton.add_word(v, 0)
+                automaton.make_automaton()
+                _automata.clear()
+                _automata[len(values)] = automaton
+            return pa.array([t is not None and next(automaton.iter(t), None) is not None for t in texts.to_pylist()], pa.bool_())
+
+        _automata: dict = {}  # one a task
+        return held(F.lower(text))
     return F.exists(F.array(*(F.lit(v) for v in values)), lambda v: F.contains(F.lower(text), v)) if values else F.lit(False)
 
 
@@ -53,7 +71,7 @@ def find_candidates(sentences: DataFrame, dictionary: DataFrame) -> DataFrame:
     A small dictionary is an array literal filtered per sentence, so there is no join and no shuffle. A larger one is matched by
     an automaton in blocks of bounded size, then its rows are joined by value.
     """
-    entries = dictionary.where("canonical is not null").select((F.col("path_seq") * F.lit(1_000_000) + F.col("entry_seq")).alias("entry_seq"), *ENTRY[1:])
+    entries = dictionary.where("canonical is not null").select((F.shiftleft(F.col("path_seq").cast("long"), 40) + F.col("entry_seq")).alias("entry_seq"), *ENTRY[1:])
     head = entries.limit(ARRAY_VALUES + 1).collect()
     if len(head) <= ARRAY_VALUES:
         kind = entries.schema

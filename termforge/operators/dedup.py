@@ -2,12 +2,14 @@
 
 Similarity is 1 - edit distance / longer length. Equal texts collapse first. Candidate pairs come from an exact filter: of a
 text cut into one piece more than there may be edits, one piece is left whole in any text that close, at a place
-shifted by no more than the edits around it. Pairs are verified with the thresholded distance, then the records that stay are the
+shifted by no more than the edits there may be. Pairs are verified with the thresholded distance, then the records that stay are the
 lexicographically first maximal independent set, found in rounds; each round is written out.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,36 +17,99 @@ from pyspark.sql import functions as F
 from termforge.operators.shared import materialize
 
 THRESHOLD = 0.9
+#: Characters of a zone of places.
+ZONE = 64
+
+
+def _powers(n: int, cache: dict = {}):  # noqa: B006  one table a process, as long as its longest text
+    import numpy as np
+
+    if len(cache.get("p", ())) < n:
+        for name, base in (("p", 0x9E3779B97F4A7C15), ("i", pow(0x9E3779B97F4A7C15, -1, 1 << 64))):
+            table = np.full(n, base, np.uint64)
+            table[0] = 1
+            cache[name] = np.multiply.accumulate(table)
+    return cache["p"], cache["i"]
+
+
+def _keys(text: str):
+    """(places, sizes, zones, band) -> hashes of the pieces of a text there, each with its zone and band."""
+    import numpy as np
+
+    x = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    power, inverse = _powers(len(x) + 1)
+    total = np.append(np.uint64(0), np.cumsum(x * power[: len(x)]))
 
+    def keys(at, n, zone, band):
+        h = (total[at + n] - total[at]) * inverse[at] + np.uint64(0xD6E8FEB86659FD93) * (n + (zone << 20) + (band << 50)).astype(np.uint64)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (h ^ (h >> np.uint64(29))).view(np.int64)
 
-def _piece_starts(length, pieces):
-    """Starts and sizes of ``pieces`` even pieces; the last ones take the remainder."""
-    base, more = F.floor(length / pieces).cast("int"), length % pieces
-    return lambda i: (i * base + F.greatest(i - (pieces - more), F.lit(0)), base + F.when(i >= pieces - more, 1).otherwise(0))
+    return keys
+
+
+def _rows(batches, threshold, index):
+    """(id, size, at, h) for the even pieces of each text (``index``), or for all its substrings that may be a piece of a shorter text."""
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    rest = round(1 - threshold, 10)
+    edits = lambda longer: np.floor(longer * rest + 1e-9).astype(np.int64)
+    pieces = lambda size: edits(np.floor(size / threshold + 1e-9)) + 1  # noqa: E731  of a text, for the longest partner it can have
+    band = lambda size: math.floor(math.log(size) / -math.log(threshold) + 1e-9) if threshold < 1 else size  # noqa: E731  a factor of the threshold wide
+    for batch in batches:
+        out, held = [], 0
+        for ident, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            size, keys = len(text), _keys(text)
+            if index:
+                k = int(pieces(np.float64(size)))
+                starts = np.arange(k + 1) * (size // k) + np.maximum(np.arange(k + 1) - (k - size % k), 0)  # the last ones take the remainder
+                at, n = starts[:-1], np.diff(starts)
+                at, n = at[n > 0], n[n > 0]
+                low, high = np.maximum(at - (k - 1), 0) // ZONE, (at + k - 1) // ZONE
+                each = high - low + 1
+                of = np.repeat(np.arange(len(at)), each)
+                zone = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+                at, n = at[of], n[of]
+                found = [(at, keys(at, n, zone, np.int64(b))) for b in (band(size), band(size) + 1)]
+            else:
+                shorter = np.arange(max(1, math.ceil(size * threshold - 1e-9)), size + 1)
+                even = shorter // pieces(shorter.astype(float))
+                found = []
+                for n in np.unique(np.concatenate((even, even + 1))).tolist():
+                    if 0 < n <= size:
+                        at = np.arange(size - n + 1)
+                        found.append((at, keys(at, np.int64(n), at // ZONE, np.int64(band(size)))))
+            for at, h in found:
+                out.append((np.full(len(at), ident), np.full(len(at), size), at, h))
+                held += len(at)
+            if held > 200_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["id", "size", "at", "h"])
+                out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["id", "size", "at", "h"])
 
 
 def similar_pairs(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b) with a < b: distinct texts at or over the threshold, from (id, text)."""
+    """(a, b) with a < b: distinct texts at or over the threshold, from a written table (id, text).
+
+    A text makes as many rows as it has characters, for each of the two or three sizes that pieces of its partners have. These
+    rows hold a hash and places; texts are fetched for candidates only. Rows meet by piece, zone of places and band of sizes, so
+    a common piece does not meet itself everywhere.
+    """
     rest = round(1 - threshold, 10)
-    allowed = lambda longer: F.floor(longer * rest + 1e-9).cast("int")
-    rows = records.select("id", "text", F.length("text").alias("size"))
-    # Pieces of the shorter text, for the longest partner it can have.
-    short = rows.withColumn("pieces", allowed(F.floor(F.col("size") / threshold + 1e-9)) + 1)
-    at, size = _piece_starts(F.col("size"), F.col("pieces"))(F.col("i"))
-    index = short.select("*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("i")).select(F.col("id").alias("s"), F.col("text").alias("s_text"), F.col("size").alias("s_size"), "i", F.substr("text", at + 1, size).alias("piece"))
-    # Substrings of the longer text at the places where each piece may lie.
-    long = rows.select(F.col("id").alias("l"), F.col("text").alias("l_text"), F.col("size").alias("l_size"))
-    long = long.select("*", F.explode(F.sequence(F.ceil(F.col("l_size") * threshold - 1e-9).cast("int"), F.col("l_size"))).alias("s_size"))
-    long = long.withColumn("pieces", allowed(F.floor(F.col("s_size") / threshold + 1e-9)) + 1).select("*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("i"))
-    at, size = _piece_starts(F.col("s_size"), F.col("pieces"))(F.col("i"))
-    gap, left = F.col("l_size") - F.col("s_size"), F.col("pieces") - 1 - F.col("i")
-    low = F.greatest(at - F.col("i"), at + gap - left, F.lit(0))
-    high = F.least(at + F.col("i"), at + gap + left, F.col("l_size") - size)
-    probes = long.withColumns({"low": low, "high": high, "n": size}).where("low <= high and n > 0").select("l", "l_text", "l_size", "s_size", "i", "n", F.explode(F.sequence("low", "high")).alias("p"))
-    probes = probes.select("l", "l_text", "l_size", "s_size", "i", F.substr("l_text", F.col("p") + 1, F.col("n")).alias("piece"))
-    pairs = index.join(probes, ["s_size", "i", "piece"]).where("s != l").dropDuplicates(["s", "l"])
-    near = F.levenshtein("s_text", "l_text") <= F.floor(F.col("l_size") * rest + 1e-9)
-    return pairs.where(near).select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b")).distinct()
+    rows = records.select(F.col("id").cast("long").alias("id"), "text").where("text != ''")
+    made = lambda index: rows.mapInArrow(partial(_rows, threshold=threshold, index=index), "id long, size long, at long, h long")
+    index = made(True).select(F.col("id").alias("s"), F.col("size").alias("s_size"), F.col("at").alias("s_at"), "h")
+    probes = made(False).select(F.col("id").alias("l"), F.col("size").alias("l_size"), "at", "h")
+    fits = (F.col("s") != F.col("l")) & (F.col("s_size") <= F.col("l_size")) & (F.col("s_size") >= F.ceil(F.col("l_size") * threshold - 1e-9)) & (F.abs(F.col("at") - F.col("s_at")) <= F.floor(F.col("l_size") * rest + 1e-9))
+    pairs = materialize(index.join(probes, "h").where(fits).select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b")).distinct(), "candidates")
+    text = lambda k: records.select(F.col("id").alias(k), F.col("text").alias(k + "_text"))
+    both = pairs.join(text("a"), "a").join(text("b"), "b")
+    most = F.floor(F.greatest(F.length("a_text"), F.length("b_text")) * rest + 1e-9).cast("int")
+    return both.where(F.call_function("levenshtein", "a_text", "b_text", most) >= 0).select("a", "b")  # -1 beyond ``most``
 
 
 def first_independent(nodes: DataFrame, pairs: DataFrame) -> DataFrame:

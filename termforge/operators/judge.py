@@ -48,7 +48,8 @@ class TableJudge(Judge):
 class CallJudge(Judge):
     """Asks ``ask(prompt) -> content`` once for each distinct question; run it where the service may be called from.
 
-    Questions go through few tasks (``tasks``), since a service's rate limit is shared. Errors count as no.
+    Questions go through few tasks (``tasks``), since a service's rate limit is shared. Errors count as no. A topic with a form question
+    in a language that the service has no form questions for is set aside.
     """
 
     def __init__(self, ask: Callable[[str], str], tasks: int = 1, form_languages: tuple[str, ...] = ("ru",)):
@@ -56,7 +57,8 @@ class CallJudge(Judge):
 
     def judge(self, rows: DataFrame) -> DataFrame:
         unsupported = (F.col("open") == "form") & ~F.col("lang").isin(*self.form_languages)
-        rows = rows.withColumn("open", F.when(unsupported, F.raise_error(F.concat(F.lit("no form questions in "), "lang"))).otherwise(F.col("open")))
+        # their topics are set aside, the others go on
+        rows = rows.withColumn("set_aside", F.coalesce(unsupported, F.lit(False))).withColumn("open", F.when(~F.col("set_aside"), F.col("open")))
         sentence = F.when(F.col("open") == "relevance", F.col("text"))
         keys = rows.withColumn("asked_in", sentence)
         asked = keys.where("open is not null").select("open", "surf", "val", "value", "entry_type", "asked_in").distinct()

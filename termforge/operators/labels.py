@@ -49,7 +49,8 @@ def processed_topics(labelled: DataFrame, topics: DataFrame, limit: int) -> Data
     if not limit:
         return topics
     over = first_sentences(labelled, limit + 1).groupBy("forum_url").agg(F.count("*").alias("n"), F.max("topic_seq").alias("last")).where(F.col("n") > limit)
-    return topics.join(over.select("forum_url", "last"), "forum_url", "left").where("last is null or topic_seq <= last").drop("last")
+    over = over.select(F.col("forum_url").alias("_f"), "last")
+    return topics.join(over, F.col("forum_url").eqNullSafe(F.col("_f")), "left").where("last is null or topic_seq <= last").drop("_f", "last")
 
 
 def counters(resolved: DataFrame, previous: DataFrame | None = None) -> DataFrame:

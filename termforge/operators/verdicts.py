@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termforge.operators.judge import Judge, NoJudge
+from termforge.operators.lemmas import Lemmatizer, lemmas_of
+from termforge.operators.shared import checked, materialize
 
 ORDER = ("topic_seq", "sent_seq", "entry_seq", "value_seq", "occ_seq")
 
@@ -19,13 +21,16 @@ class UnsupportedRule(ValueError):
     pass
 
 
-def judged_candidates(candidates: DataFrame, judge: Judge | None = None, lemmas: DataFrame | None = None) -> DataFrame:
+def judged_candidates(candidates: DataFrame, judge: Judge | None = None, lemmas: DataFrame | Lemmatizer | None = None) -> DataFrame:
     """Candidates with ``own`` (valid, invalid or null for no label), ``event`` (POS, NEG or null) and ``lemma``.
 
-    ``lemmas`` (word, lemma) lacks words whose lemma is the word itself. Dual values with a rule other than
-    CASE_SENSITIVE give ``bad_rule``; their topics are to be set aside.
+    ``lemmas`` is a lemmatizer, or a table (word, lemma) that lacks words whose lemma is the word itself. Dual values with a rule other than
+    CASE_SENSITIVE, and questions that the judge cannot put (``set_aside``), give ``bad_rule``; their topics are to be set aside.
     """
     judge = judge or NoJudge()
+    if isinstance(lemmas, Lemmatizer):
+        candidates = materialize(candidates, "candidates")
+        lemmas = lemmas_of(candidates, lemmas)
     rows = candidates.withColumns({"surf": F.lower("surface"), "val": F.lower("value"), "seq": F.struct(*ORDER)})
     if lemmas is not None:
         rows = rows.join(lemmas.select(F.col("word").alias("surf"), F.col("lemma")), "surf", "left").withColumn("lemma", F.coalesce("lemma", "surf"))
@@ -39,6 +44,8 @@ def judged_candidates(candidates: DataFrame, judge: Judge | None = None, lemmas:
     same = F.length("lemma") == F.length("val")
     rows = rows.withColumn("open", F.when(bad, None).when(other_case, "relevance").when(dual | exact | foreign | same, None).otherwise("form"))
     rows = judge.judge(rows)  # adds answer: true, false, or null without a judge
+    if "set_aside" in rows.columns:
+        bad = bad | F.col("set_aside")
     answer = F.col("answer")
     own = F.when(bad, None).when(other_case, F.coalesce(answer, F.lit(False))).when(dual | exact, True).when(foreign, False).when(same, True).otherwise(answer)
     event = F.when(bad | other_case, None).when(dual | exact, "POS").when(foreign, None).when(same, "POS").when(answer, "POS").when(~answer, "NEG")
@@ -46,20 +53,55 @@ def judged_candidates(candidates: DataFrame, judge: Judge | None = None, lemmas:
     return rows.withColumns({"own": own, "event": event, "keeps_lemma": keeps_lemma, "bad_rule": F.coalesce(bad, F.lit(False)), "dual": dual, "seen_by_dual": dual & ~bad & ~F.coalesce(other_case, F.lit(False))})
 
 
-def resolve(candidates: DataFrame, judge: Judge | None = None, lemmas: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
+def resolve(candidates: DataFrame, judge: Judge | None = None, lemmas: DataFrame | Lemmatizer | None = None, seen: DataFrame | None = None, locked: DataFrame | None = None) -> DataFrame:
     """Candidates with ``is_valid``; those without a verdict are left out. ``seen`` (value): terms accepted earlier."""
-    rows = judged_candidates(candidates, judge, lemmas)
-    broken = rows.where("bad_rule").select("topic_seq", "forum_url").distinct()
-    rows = rows.join(broken, ["topic_seq", "forum_url"], "left_anti")
+    return decide(materialize(judged_candidates(candidates, judge, lemmas), "judged"), seen, locked)
+
+
+def decide(judged: DataFrame, seen: DataFrame | None = None, locked: DataFrame | None = None) -> DataFrame:
+    """The verdicts of ``judged`` candidates, a written table: it is read for the topics set aside, the first events, and its rows.
+
+    ``locked`` (forum_url, surf, event): first events of earlier runs over the same forums. Forums without a url are one forum.
+    """
+    broken = materialize(set_aside(judged), "broken")
+    rows = judged
+    if not broken.isEmpty():
+        gone = broken.select(F.col("topic_seq").alias("_t"), F.col("forum_url").alias("_f"))
+        rows = rows.join(gone, F.col("topic_seq").eqNullSafe(F.col("_t")) & F.col("forum_url").eqNullSafe(F.col("_f")), "left_anti")
     first = rows.where("event is not null").groupBy("forum_url", "surf").agg(F.min_by("event", "seq").alias("locked"), F.min("seq").alias("lock_seq"))
-    rows = rows.join(first, ["forum_url", "surf"], "left")
+    rows = _with_forum(rows, materialize(first, "first"))
     before = F.when(F.col("lock_seq") < F.col("seq"), F.col("locked"))
+    if locked is not None:
+        rows = _with_forum(rows, materialize(locked.select("forum_url", "surf", F.col("event").alias("earlier")), "earlier"))
+        before = F.coalesce("earlier", before)
     if seen is not None:
-        rows = rows.join(seen.select(F.col("value").alias("surf"), F.lit("POS").alias("known")).distinct(), "surf", "left")
+        known = materialize(seen.select(F.col("value").alias("surf"), F.lit("POS").alias("known")).distinct(), "seen")
+        rows = rows.join(checked(known, 100), "surf", "left")
         before = F.coalesce("known", before)
     valid = F.when(F.col("dual") | before.isNull(), F.col("own")).otherwise(before == "POS")
     decided = F.col("dual") | before.isNull()
-    return rows.withColumns({"is_valid": valid, "keeps_lemma": F.col("keeps_lemma") & decided}).where("is_valid is not null")
+    settled = F.coalesce(F.col("earlier"), F.col("locked")) if locked is not None else F.col("locked")
+    return rows.withColumns({"is_valid": valid, "keeps_lemma": F.col("keeps_lemma") & decided, "locked": settled}).where("is_valid is not null")
+
+
+def _with_forum(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` with what ``table`` (forum_url, surf, ...) has for their forum and surface; a null forum meets a null forum."""
+    table = checked(table.withColumnsRenamed({"forum_url": "_f", "surf": "_s"}), 200)
+    return rows.join(table, F.col("forum_url").eqNullSafe(F.col("_f")) & (F.col("surf") == F.col("_s")), "left").drop("_f", "_s")
+
+
+def first_events(judged: DataFrame, locked: DataFrame | None = None) -> DataFrame:
+    """(forum_url, surf, event): what fixes each surface of a forum, earlier runs first."""
+    new = judged.where("event is not null and not bad_rule").groupBy("forum_url", "surf").agg(F.min_by("event", "seq").alias("event"))
+    if locked is None:
+        return new
+    both = locked.select("forum_url", "surf", "event", F.lit(0).alias("_n")).unionByName(new.withColumn("_n", F.lit(1)))
+    return both.groupBy("forum_url", "surf").agg(F.min_by("event", "_n").alias("event"))
+
+
+def set_aside(judged: DataFrame) -> DataFrame:
+    """Topics of ``judged`` candidates with a rule that is not supported or a question that the judge cannot put."""
+    return judged.where("bad_rule").select("topic_seq", "forum_url", "topic_url").distinct()
 
 
 def quarantined(candidates: DataFrame) -> DataFrame:

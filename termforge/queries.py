@@ -17,6 +17,7 @@ from termforge.operators import sentences as S
 from termforge.operators import topics as T
 from termforge.operators import verdicts as V
 from termforge.operators.judge import DenyJudge, TableJudge
+from termforge.operators.lemmas import TableLemmatizer
 from termforge.plans.annotate import annotate
 from termforge.sources import sinks
 from termforge.sources.dictionary import from_rows
@@ -31,6 +32,7 @@ TERMS = [
     (4, "t4", [("wherer", "CANONICAL", None), ("ouwh", "PHONETIC", None), ("and", "VARIANT", None)]),
 ]
 VERDICTS = [("hain", "hain", True), ("handing", "and", True), ("andre", "and", True), ("hand", "and", False), ("thand", "and", False), ("ashain", "hain", True)]
+LEMMAS = [("handing", "hand"), ("andre", "and"), ("hand", "and"), ("thand", "the"), ("ashain", "hain"), ("andand", "an")]
 MIN, RATIO, MAX_CONTEXT, LIMIT = 15, 0.3, 120, 25
 
 
@@ -108,6 +110,17 @@ def cascade_table_judge(spark, sf_dir):
     return _resolved(spark, sf_dir).select(*_VERDICT)
 
 
+def cascade_with_lemmas(spark, sf_dir):
+    """Lemmas that lack the value, that are as long as it, and that are longer and go to the judge."""
+    table = spark.createDataFrame(LEMMAS, "word string, lemma string")
+    return V.resolve(_candidates(spark, sf_dir), _judge(spark), TableLemmatizer(table)).select(*_VERDICT)
+
+
+def lemmas_kept(spark, sf_dir):
+    table = spark.createDataFrame(LEMMAS, "word string, lemma string")
+    return V.lemmas_seen(V.resolve(_candidates(spark, sf_dir), _judge(spark), TableLemmatizer(table)))
+
+
 def dual_case_sensitive(spark, sf_dir):
     return _resolved(spark, sf_dir).where("duality is not null").select(*_VERDICT)
 
@@ -194,7 +207,7 @@ def fingerprints(spark, sf_dir):
 
 
 def _turn_pairs(spark, sf_dir):
-    turns = _table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "[^ -~]", ""))
+    turns = _table(spark, sf_dir, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other"))
     return turns.select("conv_id", "turn", "text").join(after, ["conv_id", "turn"])
 
@@ -216,9 +229,9 @@ def cosine_pairs(spark, sf_dir):
 
 
 def near_duplicate_records(spark, sf_dir):
-    """Benchmark items and the first turns of conversations, near copies removed in order."""
+    """Benchmark items and all turns of conversations, near copies removed in order."""
     items = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("line_seq"), "text")
-    turns = _table(spark, sf_dir, "conversations").where("turn = 0").select((F.col("conv_id") + 1_000_000_000).alias("line_seq"), "text")
+    turns = _table(spark, sf_dir, "conversations").select(((F.col("conv_id") + 1_000_000) * 1000 + F.col("turn")).alias("line_seq"), "text")
     return dedup.near_duplicates(items.unionByName(turns)).select("line_seq", "kept")
 
 
@@ -239,7 +252,7 @@ def event_windows(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        normalize_text, sentence_split, sentence_filter, language_ratio, topic_diagnostics, dictionary_values, candidates, has_candidate, cascade_without_judge, cascade_table_judge,
+        normalize_text, sentence_split, sentence_filter, language_ratio, topic_diagnostics, dictionary_values, candidates, has_candidate, cascade_without_judge, cascade_table_judge, cascade_with_lemmas, lemmas_kept,
         dual_case_sensitive, labelled_sentences, context_windows, split_records, dictionary_counters, surface_counters, counter_totals, merged_counters, seen_terms, labelling_totals, summary,
         first_sentences, limited_counters, deny_judge, skip_done_topics, topic_urls, fingerprints, levenshtein_pairs, jaccard_pairs, cosine_pairs, near_duplicate_records, cleaned_pages, page_titles, event_windows,
     )
@@ -258,6 +271,7 @@ _NORM = r"trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\r\n]', ' ',
 _SENT = rf"""
     dict(entry_seq, value_seq, uid, canonical, value, specificity, rule) AS (VALUES {_values(_DICT)}),
     verdicts(surf, val, is_form) AS (VALUES {_values(VERDICTS)}),
+    lemmas(surf, lemma) AS (VALUES {_values(LEMMAS)}),
     pieces AS (SELECT doc_id AS topic_seq, source AS forum_url, string_split(regexp_replace(regexp_replace({_NORM.format("text")}, '[.!?]+(\s+[A-Z])', chr(1) || '\1', 'g'), '[.!?]+$', ''), chr(1)) AS p
                FROM documents WHERE lang = 'en' AND text != ''),
     raws AS (SELECT topic_seq, forum_url, i - 1 AS sent_seq, p[i] AS raw FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM pieces)),
@@ -271,18 +285,19 @@ _CAND = rf"""{_SENT},
                     lower(substr(text, a + 1, b - a)) AS surf, lower(value) AS val FROM ext)"""
 
 
-def _cascade(answer: str) -> str:
+def _cascade(answer: str, lemma: str = "surf") -> str:
     order = "topic_seq, sent_seq, entry_seq, value_seq, occ_seq"
     other = "(rule IS NOT NULL AND length(surface) = length(value) AND surface != value)"
     return rf"""{_CAND},
-    asked AS (SELECT c.*, {answer} AS ans FROM cand c LEFT JOIN verdicts v USING (surf, val)),
-    ev AS (SELECT *, CASE WHEN {other} THEN coalesce(ans, false) WHEN rule IS NOT NULL OR val = surf THEN true ELSE ans END AS own,
-                  CASE WHEN {other} THEN NULL WHEN rule IS NOT NULL OR val = surf THEN 'POS' WHEN ans THEN 'POS' WHEN NOT ans THEN 'NEG' END AS event FROM asked),
+    asked AS (SELECT c.*, {answer} AS ans, {lemma} AS lem FROM cand c LEFT JOIN verdicts v USING (surf, val) LEFT JOIN lemmas l USING (surf)),
+    ev AS (SELECT *, CASE WHEN {other} THEN coalesce(ans, false) WHEN rule IS NOT NULL OR val = surf THEN true WHEN NOT contains(lem, val) THEN false WHEN length(lem) = length(val) THEN true ELSE ans END AS own,
+                  CASE WHEN {other} THEN NULL WHEN rule IS NOT NULL OR val = surf THEN 'POS' WHEN NOT contains(lem, val) THEN NULL WHEN length(lem) = length(val) OR ans THEN 'POS' WHEN NOT ans THEN 'NEG' END AS event FROM asked),
     lock AS (SELECT *, first_value(event IGNORE NULLS) OVER (PARTITION BY forum_url, surf ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS locked FROM ev),
     res AS (SELECT * FROM (SELECT *, CASE WHEN rule IS NOT NULL OR locked IS NULL THEN own ELSE locked = 'POS' END AS is_valid FROM lock) WHERE is_valid IS NOT NULL)"""
 
 
 _TABLE = _cascade("coalesce(is_form, false)")
+_LEMMAS = _cascade("coalesce(is_form, false)", "coalesce(lemma, surf)")
 _LABELLED = rf"""{_TABLE},
     lab AS (SELECT *, concat_ws('|', surface, canonical, CASE WHEN specificity IN ('VARIANT', 'MOSTLY_USED') THEN value ELSE '-' END, "start", "end") AS label,
                    row_number() OVER (PARTITION BY topic_seq, sent_seq, is_valid ORDER BY entry_seq, value_seq, occ_seq) - 1 AS nth FROM res),
@@ -296,7 +311,16 @@ _LABELLED = rf"""{_TABLE},
 _V = "topic_seq, sent_seq, entry_seq, value_seq, occ_seq, surface, value, is_valid"
 _RANKED = f"{_LABELLED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY forum_url ORDER BY topic_seq, sent_seq, part) AS n FROM labelled)"
 _COUNTS = "SELECT 'dictionary' AS kind, value, count(*) AS found FROM res WHERE is_valid GROUP BY ALL UNION ALL SELECT 'text', surface, count(*) FROM res WHERE is_valid GROUP BY ALL"
-_TURNS = "WITH t AS (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[^ -~]', '', 'g') AS text FROM conversations), p AS (SELECT a.conv_id, a.turn, a.text, b.text AS other FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"
+_TURNS = "WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations), p AS (SELECT a.conv_id, a.turn, a.text, b.text AS other FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"
+
+
+def _coded(table: str) -> str:
+    """``table`` with ``code``, the text with one byte for each character: DuckDB's distance counts bytes. Fails beyond 126 characters."""
+    return f"""letters AS (SELECT list(DISTINCT u) AS al FROM (SELECT unnest(string_split(text, '')) AS u FROM {table})),
+        coded AS (SELECT *, CASE WHEN len(al) < 127 THEN array_to_string(list_transform(string_split(text, ''), lambda c: chr(CAST(list_position(al, c) AS INT))), '') ELSE error('too many characters') END AS code FROM {table}, letters)"""
+
+
+_ENTITIES = """replace(replace(replace(replace(t, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"""
 _URL = "url || '&t=' || page_id || '&start=25&sid=abc#p1'"
 _CHARS = r"list_distinct(list_filter(string_split(lower(regexp_replace({0}, '\s', '', 'g')), ''), lambda c: c != ''))"
 
@@ -333,7 +357,31 @@ ORACLE_SQL = {
     "skip_done_topics": "SELECT doc_id AS topic_seq, source AS forum_url FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "topic_urls": rf"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace({_URL}, '&start=\d+', '', 'g'), '&sid=[^&]+', '', 'g'), '#.*$', '') AS canonical,
         coalesce(list_filter(regexp_split_to_array({_URL}, '[?&]'), lambda x: starts_with(x, 't='))[1][3:], '') AS topic_id, 'https://forum.example/' || url AS absolute FROM pages""",
-    "levenshtein_pairs": f"{_TURNS} SELECT conv_id, turn, round(s, 9) AS similarity, s >= 0.8 AS duplicate FROM (SELECT *, CASE WHEN greatest(length(text), length(other)) = 0 THEN 1.0 ELSE 1 - levenshtein(text, other) / greatest(length(text), length(other)) END AS s FROM p)",
+    "levenshtein_pairs": f"""{_TURNS}, {_coded("t")}, q AS (SELECT a.conv_id, a.turn, levenshtein(a.code, b.code) AS d, greatest(length(a.text), length(b.text)) AS n FROM coded a JOIN coded b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)
+        SELECT conv_id, turn, round(s, 9) AS similarity, s >= 0.8 AS duplicate FROM (SELECT *, CASE WHEN n = 0 THEN 1.0 ELSE 1 - d / n END AS s FROM q)""",
+    "cosine_pairs": rf"""{_TURNS}, w AS (SELECT conv_id, turn, regexp_extract_all(text, '\w+') AS x, regexp_extract_all(other, '\w+') AS y FROM p),
+        c AS (SELECT conv_id, turn, u AS word, count(*) FILTER (WHERE mine) AS a, count(*) FILTER (WHERE NOT mine) AS b FROM (SELECT conv_id, turn, unnest(x) AS u, true AS mine FROM w UNION ALL SELECT conv_id, turn, unnest(y), false FROM w) GROUP BY ALL)
+        SELECT w.conv_id, w.turn, round(1 - CASE WHEN sum(a * a) > 0 AND sum(b * b) > 0 THEN sum(a * b) / (sqrt(sum(a * a)) * sqrt(sum(b * b))) ELSE 0 END, 6) AS distance FROM w LEFT JOIN c USING (conv_id, turn) GROUP BY ALL""",
+    "fingerprints": """WITH b AS (SELECT item_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM benchmark),
+        f AS (SELECT item_id, t, list_reduce(list_transform(range(1, length(h), 2), lambda i: CAST(CAST('0x' || substr(h, i, 2) AS INT) AS HUGEINT)), lambda s, x: (s * 31 + x) % CAST('18446744073709551616' AS HUGEINT), CAST(81985529216486895 AS HUGEINT)) AS v FROM b)
+        SELECT item_id, CASE WHEN t = '' THEN 0 ELSE CAST(CASE WHEN v >= CAST('9223372036854775808' AS HUGEINT) THEN v - CAST('18446744073709551616' AS HUGEINT) ELSE v END AS BIGINT) END AS fingerprint FROM f""",
+    # One record after the other: it stays if no earlier one that stays is as similar.
+    "near_duplicate_records": f"""WITH RECURSIVE r AS (SELECT item_id AS id, text FROM benchmark UNION ALL SELECT (conv_id + 1000000) * 1000 + turn, text FROM conversations),
+        d AS (SELECT min(id) AS id, text FROM r WHERE text IS NOT NULL AND text != '' GROUP BY text),
+        {_coded("d")}, z AS (SELECT id, code, length(code) AS n FROM coded),
+        e AS (SELECT a.id AS a, b.id AS b FROM z a JOIN z b ON a.id < b.id AND b.n BETWEEN 0.9 * a.n - 1e-9 AND a.n / 0.9 + 1e-9 WHERE levenshtein(a.code, b.code) <= floor(greatest(a.n, b.n) * 0.1 + 1e-9)),
+        o AS (SELECT b, list(a) AS near, row_number() OVER (ORDER BY b) AS k FROM e GROUP BY b),
+        s(k, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT o.k, CASE WHEN len(list_filter(near, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, b) ELSE gone END FROM s JOIN o ON o.k = s.k + 1),
+        g AS (SELECT arg_max(gone, k) AS gone FROM s)
+        SELECT id AS line_seq, text IS NULL OR text = '' OR (d.id IS NOT NULL AND NOT list_contains(gone, id)) AS kept FROM r LEFT JOIN d USING (id, text), g""",
+    # The articles of these pages hold headings, paragraphs, breaks and bold text only.
+    "cleaned_pages": rf"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '</?(h1|p|br)>', ' ', 'g'), '</?b>', '', 'g') AS t FROM pages),
+        u AS (SELECT page_id, trim(regexp_replace(regexp_replace({_ENTITIES}, '\[/?\w+\]', '', 'g'), '\s+', ' ', 'g')) AS t FROM a)
+        SELECT page_id, CASE WHEN length(t) >= 50 THEN t ELSE '' END AS cleaned FROM u""",
+    "page_titles": rf"""WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t FROM pages)
+        SELECT CAST(page_id AS VARCHAR) AS topic_url, trim(regexp_replace({_ENTITIES}, '\s+', ' ', 'g')) AS title, CAST(NULL AS VARCHAR) AS author FROM a""",
+    "cascade_with_lemmas": f"WITH {_LEMMAS} SELECT {_V} FROM res",
+    "lemmas_kept": f"WITH {_LEMMAS} SELECT DISTINCT lem AS value FROM res WHERE is_valid AND locked IS NULL AND rule IS NULL AND val != surf",
     "jaccard_pairs": rf"""{_TURNS}, c AS (SELECT conv_id, turn, {_CHARS.format("text")} AS x, {_CHARS.format("other")} AS y FROM p),
         m AS (SELECT conv_id, turn, list_distinct(list_concat(x, CASE WHEN len(x) >= 2 THEN ['[', ']', ',', ' '] ELSE ['[', ']'] END)) AS x, list_distinct(list_concat(y, CASE WHEN len(y) >= 2 THEN ['[', ']', ',', ' '] ELSE ['[', ']'] END)) AS y FROM c)
         SELECT conv_id, turn, round(len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))), 9) AS similarity FROM m""",

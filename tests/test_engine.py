@@ -5,12 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from termforge import config, languages
-from termforge.operators import candidates, dedup, html, judge, topics, verdicts
+from termforge.operators import candidates, dedup, html, judge, lemmas, topics, verdicts
 from termforge.operators import labels as L
 from termforge.operators import sentences as S
 from termforge.plans.annotate import annotate, annotate_site
 from termforge.sources import dictionary, records, sinks
-from termforge.streaming.annotate_stream import annotate_stream
+from termforge.streaming.annotate_stream import annotate_stream, stream_state
 
 FISH = [(0, "carp", [("карп", "CANONICAL", None), ("карпик", "VARIANT", None)]), (1, "pike", [("щука", "CANONICAL", None), ("щук", "VARIANT", None)]), (2, "catfish", [("сом", "CANONICAL", None)])]
 TOPIC = "topic_seq long, forum_url string, topic_url string, cleaned_content string, content string, language string"
@@ -51,6 +51,86 @@ def test_cascade_equals_a_sequential_run(spark):
     assert got == want and len(set(want.values())) == 2
 
 
+def test_cascade_with_lemmas_and_null_forum_equals_a_sequential_run(spark):
+    """All eight steps: lemmas that lack the value, that are as long as it, and others; a forum without a url is a forum."""
+    rng = random.Random(6)
+    forms = ["карп", "карпа", "карпы", "щуку", "щук", "сома", "сом", "карпика", "карпом"]
+    lemma = {"карпа": "карп", "карпы": "карпы", "щуку": "щука", "сома": "сомик", "карпика": "удочка", "карпом": "карп"}
+    told = {(s, v): rng.random() < 0.5 for s in forms for v in ("карп", "карпик", "щук", "сом")}
+    rows = [(i, forum, f"u?t={i}", None, ". ".join("Было " + " и ".join(rng.choice(forms) for _ in range(4)) for _ in range(2)), "RU") for forum in ("f", None) for i in rng.sample(range(100 * (forum is None), 100 * (forum is None) + 50), 12)]
+    table = judge.TableJudge(spark.createDataFrame([(s, v, ok) for (s, v), ok in told.items()], "surface string, value string, is_form boolean"))
+    found = candidates.find_candidates(S.sentences(spark.createDataFrame(rows, TOPIC), "ru"), dictionary.from_rows(spark, FISH))
+    by_table = spark.createDataFrame(list(lemma.items()), "word string, lemma string")
+    want, kept, steps = {}, set(), set()
+    state = {f: (set(), set()) for f in ("f", None)}
+    for r in sorted(found.collect(), key=lambda r: [r[c] for c in verdicts.ORDER]):
+        surf, val, (rejected, seen) = r.surface.lower(), r.value.lower(), state[r.forum_url]
+        lem = lemma.get(surf, surf)
+        step = next(k for k, test in enumerate((surf in rejected, surf in seen, surf == val, val not in lem, len(val) == len(lem), told[surf, val], True)) if test)
+        ok = step in (1, 2, 4, 5)
+        if step in (2, 4, 5):
+            seen.add(surf)
+            kept |= {lem} if step > 2 else set()
+        if step == 6:
+            rejected.add(surf)
+        want[tuple(r[c] for c in verdicts.ORDER)] = ok
+        steps.add(step)
+    assert steps == set(range(7))
+    for given in (by_table, lemmas.TableLemmatizer(by_table), lemmas.CallLemmatizer(lambda w: lemma.get(w, w))):
+        resolved = verdicts.resolve(found, table, given)
+        assert {tuple(r.seq): r.is_valid for r in resolved.collect()} == want
+        assert {r.value for r in verdicts.lemmas_seen(resolved).collect()} == kept
+
+
+def test_lemmatizer_of_a_language():
+    some = lemmas.CallLemmatizer(str)
+    assert all(lemmas.lemmatizer_for(c, some) is some for c in ("ru", "RU-ru", " ru "))
+    assert all(isinstance(lemmas.lemmatizer_for(c, some), lemmas.NoLemmatizer) for c in ("en", "en-US", "he", "he-IL", "xx", "", None))
+    assert isinstance(lemmas.lemmatizer_for("ru"), lemmas.NoLemmatizer)
+
+
+def test_call_judge_asks_once_and_sets_other_languages_aside(spark, tmp_path):
+    asked = tmp_path / "asked"
+
+    def ask(prompt):
+        with open(asked, "a", encoding="utf-8") as f:
+            f.write(prompt.replace("\n", " ") + "\n")
+        if "щуку" in prompt:
+            raise judge.ProviderError("NETWORK_ERROR")
+        return "TRUE, it is"
+
+    found = candidates.find_candidates(S.sentences(make_topics(spark, ["Я поймал карпа и щуку, карпа и щуку."] * 3), "ru"), dictionary.from_rows(spark, FISH))
+    got = {r.surface: r.is_valid for r in verdicts.resolve(found, judge.CallJudge(ask)).collect()}
+    assert got == {"карпа": True, "щуку": False} and len(asked.read_text(encoding="utf-8").splitlines()) == 2
+    english = spark.createDataFrame([(0, "f", "a", None, "A nice carpet lies here today.", "en"), (1, "f", "b", None, "The carp swims here today.", "en")], TOPIC)
+    run = annotate(english, dictionary.from_rows(spark, [(0, "c", [("carp", "CANONICAL", None)])]), config.LabelerConfig(language="en"), judge.CallJudge(ask))
+    assert [r.topic_seq for r in run.quarantined.collect()] == [0] and [r.topic_seq for r in run.labelled.collect()] == [1]
+
+
+def test_special_characters_are_filtered_on_request(spark):
+    rows = make_topics(spark, ["Карп $$$ *** ### @@@ здесь %%% ^^^ плавает.", "Карп был здесь вчера утром."])
+    words = dictionary.from_rows(spark, FISH)
+    assert annotate(rows, words, RU).labelled.count() == 2
+    assert [r.topic_seq for r in annotate(rows, words, RU, filter_special=True).labelled.collect()] == [1]
+
+
+def test_hebrew(spark):
+    rows = spark.createDataFrame([(0, "f", "a", None, "אני אוהב דג קרפיון מאוד. This sentence is in English only.", "he")], TOPIC)
+    out = S.sentences(rows, "he", 5).collect()
+    assert len(out) == 1 and "קרפיון" in out[0].text
+    words = dictionary.from_rows(spark, [(0, "c", [("קרפיון", "CANONICAL", None)])])
+    (r,) = annotate(rows, words, config.LabelerConfig(language="he")).labelled.collect()
+    assert [(x.surface, r.text[x.start : x.end]) for x in r.valid_labels] == [("קרפיון", "קרפיון")]
+
+
+def test_has_candidate_beyond_the_array(spark, monkeypatch):
+    rows = S.sentences(make_topics(spark, ["Карп был здесь вчера.", "Никого не было вчера.", "Большая ЩУКА плывёт."]), "ru")
+    words = dictionary.from_rows(spark, FISH)
+    few = {r.topic_seq for r in rows.where(candidates.has_candidate(words, F.col("text"))).collect()}
+    monkeypatch.setattr(candidates, "ARRAY_VALUES", 2)
+    assert {r.topic_seq for r in rows.where(candidates.has_candidate(words, F.col("text"))).collect()} == few == {0, 2}
+
+
 def test_dual_values_and_unsupported_rule(spark):
     words = dictionary.from_rows(spark, [(0, "a", [("Сом", "CANONICAL", "CASE_SENSITIVE")]), (1, "b", [("лещ", "CANONICAL", "OTHER")])])
     rows = make_topics(spark, ["Поймал сом и Сом и сомик сегодня.", "Крупный лещ клюёт здесь весной."])
@@ -193,3 +273,27 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.text for r in spark.read.json(f"{tmp_path}/out/valid").collect()}
     assert got == {r.text for r in annotate(rows, words, RU, judge.DenyJudge()).labelled.where(F.size("valid_labels") > 0).collect()}
+
+
+def test_stream_of_several_batches_equals_batch(spark, tmp_path):
+    """Rejections, accepted terms, lemmas and counters of one micro-batch hold in the next."""
+    rng = random.Random(7)
+    forms = ["карп", "карпа", "карпы", "щуку", "щук", "сома", "карпика"]
+    texts = ["Было " + " и ".join(rng.choice(forms) for _ in range(4)) for _ in range(12)]
+    rows = [(i, f"f{i % 2}" if i % 5 else None, f"u?t={i}", None, t, "RU") for i, t in enumerate(texts)]
+    told = judge.TableJudge(spark.createDataFrame([("карпа", "карп", True), ("щуку", "щук", False), ("карпика", "карп", False)], "surface string, value string, is_form boolean"))
+    lemma = spark.createDataFrame([("карпы", "карп")], "word string, lemma string")
+    words, topic = dictionary.from_rows(spark, FISH), spark.createDataFrame(rows, TOPIC)
+    folder = f"{tmp_path}/in"
+    for k in range(3):  # three files, one a batch
+        topic.where(f"topic_seq >= {4 * k} and topic_seq < {4 * k + 4}").coalesce(1).write.mode("append").parquet(folder)
+        annotate_stream(spark.readStream.schema(topic.schema).parquet(folder), words, RU, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp", told, lemma).awaitTermination(120)
+    whole = annotate(topic, words, RU, told, lemma)
+    for which in ("valid", "invalid"):
+        got = sorted((r.topicUrl, r.text) for r in spark.read.json(f"{tmp_path}/out/{which}").collect())
+        assert got == sorted((r.topicUrl, r.text) for r in sinks.record_rows(whole.labelled, which).collect()) and got
+    state = stream_state(spark, f"{tmp_path}/state")
+    assert sorted(map(str, state["counters"].collect())) == sorted(map(str, whole.counters.select("kind", "value", "found").collect()))
+    for name, frame in (("terms", whole.terms), ("lemmas", whole.lemmas), ("locked", whole.locked)):
+        assert sorted(map(str, state[name].collect())) == sorted(map(str, frame.collect())), name
+    assert {r.event for r in whole.locked.collect()} == {"POS", "NEG"}
