@@ -77,6 +77,32 @@ QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_token_rol
 _KEPT = "[^\\x20\\x09-\\x0D]+"
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _url_sql(rounds: int) -> str:
+    fits = lambda rule: "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*rule.split("/", 1))
+    ranked = sorted(url_filter.RULES, key=lambda r: -len(r[1]))
+    pick = lambda of: "CASE " + " ".join(f"WHEN {fits(r[1])} THEN '{r[of]}'" for r in ranked) + " END"
+    host = lambda url: rf"translate(regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    href = url_filter.HREF.replace("'", "''")
+
+    def walk(name, verdict, src, dst):
+        step = f"{name}0 AS (SELECT host, n / (SELECT sum(n) FROM {name}s)::DOUBLE * (1 - 0.85::DOUBLE) AS seed, n / (SELECT sum(n) FROM {name}s)::DOUBLE * (1 - 0.85::DOUBLE) AS score FROM {name}s)"
+        out = [f"{name}s AS (SELECT host, count(*) AS n FROM j WHERE host != '' AND verdict = '{verdict}' GROUP BY host)", f"{name}e AS (SELECT {src} AS src, {dst} AS dst, n / sum(n) OVER (PARTITION BY {src}) AS share FROM edges)", step]
+        for k in range(rounds):
+            out.append(f"{name}{k + 1} AS (SELECT host, coalesce(max(seed), 0.0::DOUBLE) AS seed, sum(part) AS score FROM (SELECT host, seed, seed AS part FROM {name}0 UNION ALL SELECT dst, NULL, 0.85::DOUBLE * score * share FROM {name}{k} JOIN {name}e ON src = host) GROUP BY host)")
+        return ", ".join(out)
+
+    return rf"""WITH h AS (SELECT page_id, html, {host("url")} AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        j AS (SELECT page_id, host, path, {pick(1)} AS rule, {pick(0)} AS verdict FROM h),
+        l AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '{href}', 1)) AS t FROM h),
+        m AS (SELECT src, {host("CASE WHEN starts_with(t, '//') THEN 'x:' || t ELSE t END")} AS dst FROM l WHERE contains(t, '//')),
+        edges AS (SELECT src, dst, count(*) AS n FROM m WHERE src != '' AND dst != '' AND src != dst GROUP BY ALL),
+        {walk("trust", "allow", "src", "dst")}, {walk("distrust", "block", "dst", "src")}
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN coalesce(b.score, 0) - coalesce(a.score, 0) > 0 THEN 'block' ELSE 'allow' END) AS verdict,
+               coalesce(a.score, 0.0::DOUBLE) AS trust, coalesce(b.score, 0.0::DOUBLE) AS distrust FROM j LEFT JOIN trust{rounds} a USING (host) LEFT JOIN distrust{rounds} b USING (host)"""
+
+
 ORACLE_SQL = {
     "op1_near_dedup": rf"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_KEPT}') AS w FROM documents),
@@ -102,6 +128,8 @@ ORACLE_SQL = {
                    FROM v JOIN d USING (doc_id) GROUP BY doc_id)
         SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
                sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN x USING (doc_id)""",
+    # The walks unrolled: as many rounds as the links of these pages need (there are none between hosts, so one would do).
+    "op2_url_filter": _url_sql(12),
     "op9_decontamination": rf"""
         WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') AS w FROM documents),
              b AS (SELECT item_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') AS w FROM benchmark),

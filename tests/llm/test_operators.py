@@ -206,6 +206,37 @@ def test_languages(docs, rows):
     assert kept.columns == docs.columns and kept.count() == sum(any(c.isalpha() for c in t or "") for _, t, *_ in rows)
 
 
+def test_languages_equal_brute_force(docs, rows):
+    """Profiles, ranks and distances counted gram by gram."""
+    code = lambda b: b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32
+
+    def grams(text):
+        x = [code(b) for b in (text or "").encode()]
+        out = collections.Counter()
+        for n in (1, 2, 3):
+            for i in range(len(x) - n + 1):
+                g = x[i : i + n]
+                if not (n == 1 and g[0] == 32 or any(a == b == 32 for a, b in zip(g, g[1:], strict=False))):
+                    out[(n << 24) + sum(c << 8 * (n - 1 - k) for k, c in enumerate(g))] += 1
+        return out
+
+    def ranked(counts, most):
+        return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most]]
+
+    train = [(t, lang) for i, t, lang, *_ in rows if lang is not None and t is not None and zlib.crc32(b"" if i is None else str(i).encode()) % 4 != 2]
+    profiles = {lang: ranked(sum((grams(t) for t, x in train if x == lang), collections.Counter()), language_id.PROFILE) for lang in sorted({x for _, x in train})}
+    size = max(map(len, profiles.values()))
+    want = collections.Counter()
+    for i, t, *_ in rows:
+        own, best = ranked(grams(t), language_id.RANKED), (size * 10**6, "und")
+        for lang, p in profiles.items():
+            place = {g: k for k, g in enumerate(p)}
+            best = min(best, (sum(abs(place[g] - k) if g in place else size for k, g in enumerate(own)), lang), key=lambda x: x[0])
+        letter = any(c.isalpha() for c in t or "")
+        want[i, zlib.crc32(b"" if i is None else str(i).encode()) % 4 == 2, best[1] if letter else "und", round(1 - best[0] / (size * max(1, len(own))), 9) if letter else 0.0] += 1
+    assert collections.Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in language_id.languages_of(docs).collect()) == want
+
+
 def test_personal_data(docs, rows):
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
     card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -440,6 +471,7 @@ def test_plan_reaches_the_bound_where_there_is_one():
 
 
 def test_plan_backtracks_to_the_optimum():
+    assert sum(n for _, n in packing.plan_bins(collections.Counter([20, 23, 25, 26, 30, 31, 43, 49, 50, 51, 51, 56, 57, 58]), 100)) == 6
     assert sum(n for _, n in packing.plan_bins({820: 2, 614: 6, 408: 2}, 2048)) == 3  # greedy descents end at 4
 
     def optimum(items, rooms, most):
@@ -473,6 +505,54 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages.where("false")).count() == 0
 
 
+def test_url_verdicts_equal_brute_force(spark):
+    """Rules and both walks over a random graph of hosts with links of all kinds, against a dense solution."""
+    rng = random.Random(21)
+    hosts = [f"h{k}.{rng.choice(['org', 'com', 'net', 'example.org'])}" for k in range(30)]
+    pages = []
+    for i in range(120):
+        h = rng.choice(hosts)
+        links = "".join(rng.choice(['<a href="http://{}/x">', "<A class=q HREF='https://{}/de/'>", "<a href=//{}>", '<a href="/own/{}">', '<a name="http://{}">']).format(rng.choice(hosts)) + "t</a>" for _ in range(rng.randrange(3)))
+        pages.append((i, f"http://{h.upper() if i % 9 == 0 else h}/{rng.choice(['es/', 'en/1', 'en/2', 'fr/', 'de/', ''])}" + rng.choice(["", "?q=/de/", "#x"]), links or None))
+    pages += [(200, None, "<a href='http://a.net'>"), (201, "no url", None), (3, *pages[3][1:])]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+
+    def split(url):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        return (m[1].lower(), m[2]) if m else ("", "")
+
+    def judged(host, path):
+        fits = [(len(r), r, v) for v, r in url_filter.RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
+        return max(fits)[1:] if fits else (None, None)
+
+    rows = [(i, *split(u), html) for i, u, html in pages]
+    names = sorted({h for _, h, _, _ in rows if h} | {"a.net", *hosts})
+    links = np.zeros((len(names),) * 2)
+    for _, h, _, html in rows:
+        for to in re.findall(r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*[\"']?([^\"'\s>]*)", html or ""):
+            dst = split("x:" + to if to.startswith("//") else to)[0]
+            if h and dst and dst != h:
+                links[names.index(h), names.index(dst)] += 1
+    seeds = {v: np.array([sum(judged(h, p)[1] == v for _, h, p, _ in rows if h == n) for n in names], float) for v in ("allow", "block")}
+    assert links.sum() > 40 and all(s.sum() > 3 for s in seeds.values())
+
+    def solved(a, seed):
+        a = a / np.maximum(a.sum(1, keepdims=True), 1)
+        return np.linalg.solve(np.eye(len(names)) - 0.85 * a.T, 0.15 * seed / seed.sum())
+
+    trust, distrust = solved(links, seeds["allow"]), solved(links.T, seeds["block"])
+    got = collections.Counter()
+    for r in url_filter.judge_urls(table).collect():
+        k = names.index(r.host) if r.host else None
+        assert k is None and r.trust == r.distrust == 0 or math.isclose(r.trust, trust[k], rel_tol=1e-4, abs_tol=1e-12) and math.isclose(r.distrust, distrust[k], rel_tol=1e-4, abs_tol=1e-12)
+        got[r.page_id, r.host, r.path, r.rule, r.verdict] += 1
+    want = collections.Counter()
+    for i, h, p, _ in rows:
+        rule, verdict = judged(h, p)
+        want[i, h, p, rule, verdict or ("block" if h and distrust[names.index(h)] > trust[names.index(h)] else "allow")] += 1
+    assert got == want and len({k[4] for k in want if not k[3]}) == 2
+
+
 def test_propagation_equals_a_dense_walk(spark):
     edges = [("a", "b", 0.5), ("a", "c", 0.5), ("b", "c", 1.0), ("c", "a", 1.0)]
     got = {r.host: r.score for r in url_filter.propagate(spark.createDataFrame([("a", 1.0)], "host string, seed double"), spark.createDataFrame(edges, "src string, dst string, share double"), rounds=10).collect()}
