@@ -125,7 +125,8 @@ class Provider:
     priority: int = 0
     per_minute: int = 0
     per_day: int = 0
-    calls: list[float] = field(default_factory=list)
+    calls: list[float] = field(default_factory=list)  # when calls succeeded
+    tokens: int = 0  # used so far, as the service tells
     rests_until: float = 0.0
 
     def free(self, now: float) -> bool:
@@ -137,6 +138,17 @@ class Provider:
         return {"model": self.model, "temperature": temperature, "max_tokens": max_tokens, "messages": [{"role": "user", "content": prompt}]}
 
 
+def reply(provider: Provider, answer: str | dict) -> str:
+    """The content of an answer: text, or the parsed body of a chat service, whose token usage is added to the provider's."""
+    if isinstance(answer, str):
+        return answer
+    provider.tokens += int((answer.get("usage") or {}).get("total_tokens") or 0)
+    choices = answer.get("choices") or []
+    if not choices:
+        raise ProviderError("UNKNOWN", "an answer without choices")
+    return (choices[0].get("message") or {}).get("content") or ""
+
+
 def read_providers(folder: str, env: dict[str, str] | None = None) -> list[Provider]:
     """Enabled providers with a key, by priority. ``<name>_key.json`` ({"key": ...}) comes before the file's own key, then
     the environment variable it names."""
@@ -159,9 +171,12 @@ def read_providers(folder: str, env: dict[str, str] | None = None) -> list[Provi
 
 
 class Scheduler:
-    """Round robin over providers by priority; those that rest or are at their limit are passed over."""
+    """Round robin over providers by priority; those that rest or are at their limit are passed over.
+
+    Limits count the calls that succeeded; a provider that says it is over its limit rests and starts counting afresh.
+    """
 
-    def __init__(self, providers: list[Provider], send: Callable[[Provider, dict], str], clock: Callable[[], float] = time.time):
+    def __init__(self, providers: list[Provider], send: Callable[[Provider, dict], str | dict], clock: Callable[[], float] = time.time):
         self.providers, self.send, self.clock, self.next = sorted(providers, key=lambda p: p.priority), send, clock, 0
 
     def ask(self, prompt: str) -> str:
@@ -172,13 +187,14 @@ class Scheduler:
             now = self.clock()
             if not provider.free(now):
                 continue
-            provider.calls.append(now)
             try:
-                return self.send(provider, provider.body(prompt))
+                content = reply(provider, self.send(provider, provider.body(prompt)))
+                provider.calls.append(now)
+                return content
             except ProviderError as e:
                 error = e
                 if e.kind == "RATE_LIMIT":
-                    provider.rests_until = now + (e.retry_after or 60)
+                    provider.rests_until, provider.calls = now + (e.retry_after or 60), []
                 elif e.kind not in ProviderError.RETRYABLE:
                     provider.rests_until = now + 30
         raise error or ProviderError("RATE_LIMIT", "no provider is free")

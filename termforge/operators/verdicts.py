@@ -118,3 +118,18 @@ def terms_seen(resolved: DataFrame, seen: DataFrame | None = None) -> DataFrame:
 def lemmas_seen(resolved: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     new = resolved.where("keeps_lemma and is_valid").select(F.col("lemma").alias("value"))
     return (new if seen is None else new.union(seen.select("value"))).distinct()
+
+
+def seen_counts(resolved: DataFrame, seen: DataFrame | None = None, lemmas: DataFrame | None = None) -> DataFrame:
+    """(terms, lemmas): how many distinct ones are known."""
+    return terms_seen(resolved, seen).agg(F.count("*").alias("terms")).crossJoin(lemmas_seen(resolved, lemmas).agg(F.count("*").alias("lemmas")))  # one row each
+
+
+def questions(judged: DataFrame) -> DataFrame:
+    """(question, surf, val, answer): what the judge was asked and said, each distinct question once; the rows of its log."""
+    return judged.where("open is not null").select(F.col("open").alias("question"), "surf", "val", "answer").distinct()
+
+
+def tally(asked: DataFrame) -> DataFrame:
+    """How many questions of each kind were answered yes and no."""
+    return asked.groupBy("question").agg(F.count_if("answer").alias("yes"), F.count_if(~F.col("answer")).alias("no"))

@@ -163,6 +163,18 @@ def merged_counters(spark, sf_dir):
     return L.counters(_resolved(spark, sf_dir), once).select("kind", "value", "found")
 
 
+def seen_counts(spark, sf_dir):
+    return V.seen_counts(V.resolve(_candidates(spark, sf_dir), _judge(spark), TableLemmatizer(spark.createDataFrame(LEMMAS, "word string, lemma string"))))
+
+
+def judge_questions(spark, sf_dir):
+    return V.questions(V.judged_candidates(_candidates(spark, sf_dir), _judge(spark)))
+
+
+def judge_tally(spark, sf_dir):
+    return V.tally(V.questions(V.judged_candidates(_candidates(spark, sf_dir), _judge(spark))))
+
+
 def seen_terms(spark, sf_dir):
     return V.terms_seen(_resolved(spark, sf_dir))
 
@@ -253,7 +265,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         normalize_text, sentence_split, sentence_filter, language_ratio, topic_diagnostics, dictionary_values, candidates, has_candidate, cascade_without_judge, cascade_table_judge, cascade_with_lemmas, lemmas_kept,
-        dual_case_sensitive, labelled_sentences, context_windows, split_records, dictionary_counters, surface_counters, counter_totals, merged_counters, seen_terms, labelling_totals, summary,
+        dual_case_sensitive, labelled_sentences, context_windows, split_records, dictionary_counters, surface_counters, counter_totals, merged_counters, seen_terms, seen_counts, judge_questions, judge_tally, labelling_totals, summary,
         first_sentences, limited_counters, deny_judge, skip_done_topics, topic_urls, fingerprints, levenshtein_pairs, jaccard_pairs, cosine_pairs, near_duplicate_records, cleaned_pages, page_titles, event_windows,
     )
 }
@@ -308,6 +320,7 @@ _LABELLED = rf"""{_TABLE},
     labelled AS (SELECT topic_seq, forum_url, CAST(topic_seq AS VARCHAR) AS topic_url, sent_seq, 0 AS part, text, valid, invalid, n_valid, n_invalid FROM lists WHERE length(text) <= {MAX_CONTEXT} OR n_valid = 0
                  UNION ALL SELECT topic_seq, forum_url, topic_seq || '(context)', sent_seq, nth, array_to_string(w[greatest(wi - 5, 0) + 1:least(len(w), wi + 6)], ' '), label, '', 1, 0 FROM win
                  WHERE length(array_to_string(w[greatest(wi - 5, 0) + 1:least(len(w), wi + 6)], ' ')) >= {MIN})"""
+_ASKED = "CASE WHEN rule IS NULL THEN 'form' ELSE 'relevance' END AS question, surf, val, ans AS answer FROM ev WHERE CASE WHEN rule IS NULL THEN val != surf ELSE length(surface) = length(value) AND surface != value END"
 _V = "topic_seq, sent_seq, entry_seq, value_seq, occ_seq, surface, value, is_valid"
 _RANKED = f"{_LABELLED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY forum_url ORDER BY topic_seq, sent_seq, part) AS n FROM labelled)"
 _COUNTS = "SELECT 'dictionary' AS kind, value, count(*) AS found FROM res WHERE is_valid GROUP BY ALL UNION ALL SELECT 'text', surface, count(*) FROM res WHERE is_valid GROUP BY ALL"
@@ -346,6 +359,11 @@ ORACLE_SQL = {
     "surface_counters": f"WITH {_TABLE} SELECT surface AS value, count(*) AS found FROM res WHERE is_valid GROUP BY surface",
     "counter_totals": f"WITH {_TABLE} SELECT kind, CAST(sum(found) AS BIGINT) AS total FROM ({_COUNTS}) GROUP BY kind",
     "merged_counters": f"WITH {_TABLE} SELECT kind, value, 2 * found AS found FROM ({_COUNTS})",
+    "judge_questions": f"WITH {_TABLE} SELECT DISTINCT {_ASKED}",
+    "judge_tally": f"WITH {_TABLE} SELECT question, count(*) FILTER (WHERE answer) AS yes, count(*) FILTER (WHERE NOT answer) AS no FROM (SELECT DISTINCT {_ASKED}) GROUP BY question",
+    "seen_counts": f"""WITH {_LEMMAS}, f AS (SELECT *, first_value(event IGNORE NULLS) OVER (PARTITION BY forum_url, surf ORDER BY topic_seq, sent_seq, entry_seq, value_seq, occ_seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM ev)
+        SELECT (SELECT count(DISTINCT surf) FROM f WHERE (rule IS NOT NULL AND NOT (length(surface) = length(value) AND surface != value)) OR (rule IS NULL AND f = 'POS')) AS terms,
+               (SELECT count(DISTINCT lem) FROM res WHERE is_valid AND locked IS NULL AND rule IS NULL AND val != surf) AS lemmas""",
     "seen_terms": f"""WITH {_TABLE} SELECT DISTINCT surf AS value FROM (SELECT surf, rule, surface, value, first_value(event IGNORE NULLS) OVER (PARTITION BY forum_url, surf ORDER BY topic_seq, sent_seq, entry_seq, value_seq, occ_seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM ev)
         WHERE (rule IS NOT NULL AND NOT (length(surface) = length(value) AND surface != value)) OR (rule IS NULL AND f = 'POS')""",
     "labelling_totals": f"WITH {_LABELLED} SELECT count(DISTINCT topic_seq) AS topics, count(*) AS sentences, CAST(sum(n_valid + n_invalid) AS BIGINT) AS labels FROM labelled",

@@ -36,6 +36,18 @@ def marker_rows(topics: DataFrame, now: str | None = None) -> DataFrame:
     return out
 
 
+def write_marked(labelled: DataFrame, topics: DataFrame, path: str, now: str | None = None) -> None:
+    """JSON lines of valid records between the markers of their forums and topics, in order over the files of the folder."""
+    records = labelled.where(F.size("valid_labels") > 0)
+    record = F.to_json(F.struct(F.lit("data").alias("type"), F.col("forum_url").alias("forumUrl"), F.col("topic_url").alias("topicUrl"), "lang", "text", label_json(F.col("valid_labels")).alias("labels")))
+    lines = records.select("forum_url", "topic_seq", F.lit(2).alias("place"), F.col("sent_seq").cast("long").alias("sent_seq"), F.col("part").cast("long").alias("part"), record.alias("value"))
+    marks = marker_rows(topics, now)
+    mark = F.to_json(F.struct("type", "forumUrl", "topicUrl", "timestamp"))
+    none = F.lit(0).cast("long")
+    lines = lines.unionByName(marks.select(F.col("forumUrl").alias("forum_url"), "topic_seq", "place", none.alias("sent_seq"), none.alias("part"), mark.alias("value")))
+    lines.orderBy("forum_url", "topic_seq", "place", "sent_seq", "part").select("value").write.mode("overwrite").text(path)
+
+
 def output_names(site_id: str, dictionary_path: str) -> dict[str, str]:
     """Names of the two record folders of a site and dictionary."""
     name = dictionary_path.rsplit("/", 1)[-1].removesuffix(".json").removesuffix("_dict")

@@ -297,3 +297,64 @@ def test_stream_of_several_batches_equals_batch(spark, tmp_path):
     for name, frame in (("terms", whole.terms), ("lemmas", whole.lemmas), ("locked", whole.locked)):
         assert sorted(map(str, state[name].collect())) == sorted(map(str, frame.collect())), name
     assert {r.event for r in whole.locked.collect()} == {"POS", "NEG"}
+
+
+def test_limits_count_successes_and_tokens_are_summed():
+    now, sent = [0.0], []
+
+    def send(p, body):
+        sent.append(p.name)
+        if len(sent) == 2:
+            raise judge.ProviderError("SERVER_ERROR")
+        return {"choices": [{"message": {"content": "TRUE"}}], "usage": {"total_tokens": 7}}
+
+    p = judge.Provider("one", per_minute=2)
+    s = judge.Scheduler([p], send, clock=lambda: now[0])
+    assert [s.ask("?") for _ in range(2)] == ["TRUE", "TRUE"] and len(sent) == 3 and p.tokens == 14  # the failed call is tried again and not counted
+    with pytest.raises(judge.ProviderError, match="no provider"):
+        s.ask("?")
+    now[0] = 61.0
+    assert s.ask("?") == "TRUE"
+    with pytest.raises(judge.ProviderError, match="without choices"):
+        judge.reply(p, {"choices": []})
+
+
+def test_markers_stand_around_their_records(spark, tmp_path):
+    rows = make_topics(spark, ["Карп был здесь вчера.", "Никого не было вчера.", "Карп и карп плывут."])
+    run = annotate(rows, dictionary.from_rows(spark, FISH), RU)
+    sinks.write_marked(run.labelled, rows, f"{tmp_path}/out", now="2024-01-01T00:00:00Z")
+    lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").coalesce(1).collect()]
+    kinds = ["forum_start", "topic_start", "data", "topic_end", "topic_start", "topic_end", "topic_start", "data", "topic_end", "forum_end"]
+    assert sorted(x["type"] for x in lines) == sorted(kinds)
+    files = sorted((tmp_path / "out").glob("part-*"))
+    assert [json.loads(x)["type"] for f in files for x in f.read_text(encoding="utf-8").splitlines()] == kinds
+
+
+def test_vbulletin_listing(spark):
+    page = '<a href="showthread.php?t=12">a</a><a href="/threads/big-carp.34/">b</a><a href="member.php?u=1">c</a><a href="showthread.php?t=12">again</a>'
+    got = topics.topic_urls(spark.createDataFrame([("f", 0, page)], "forum_url string, page int, html string"), "vBulletin", "https://b/").orderBy("topic_seq").collect()
+    assert [r.topic_url.split("b/", 1)[1].lstrip("/") for r in got] == ["showthread.php?t=12", "threads/big-carp.34/"]
+    urls = topics.listing_urls(spark.createDataFrame([("f", "PHPBB"), ("g", "VBULLETIN")], "forum_url string, forum_type string")).collect()
+    assert sum(r.forum_url == "f" for r in urls) == 10 and [r.url for r in urls if r.forum_url == "g"] == ["g"] and any(r.url == "f&start=225" for r in urls)
+
+
+def test_records_and_newest_counters(spark, tmp_path):
+    (tmp_path / "r.jsonl").write_text('{"type": "data", "text": "b"}\n{"type": "topic_start"}\n{"type": "data", "text": "a"}\n', encoding="utf-8")
+    rows = records.read_records(spark, f"{tmp_path}/r.jsonl")
+    assert [r.text for r in rows.orderBy("line_seq").collect()] == ["b", "a"]
+    judged = dedup.near_duplicates(rows)
+    assert dedup.removed_count(judged).first()[0] == 0
+    sinks.write_deduplicated(judged.where("kept"), f"{tmp_path}/{sinks.deduplicated_path('r.jsonl')}")
+    assert [json.loads(r.value)["text"] for r in spark.read.text(f"{tmp_path}/r_dedup.jsonl").collect()] == ["b", "a"]
+    import os
+
+    for k, name in enumerate(("s_counters_2024.json", "s_counters_2023.json", "other.json")):
+        (tmp_path / name).write_text("{}")
+        os.utime(tmp_path / name, (1000 + k * 10, 1000 + k * 10))
+    assert records.newest_counters(spark, str(tmp_path), "s").endswith("s_counters_2023.json")
+
+
+def test_cleaned_pages_with_a_header(spark):
+    rows = spark.createDataFrame([("u1", f'<div class="content">{"long post text " * 5}</div>'), ("u2", "<p>none</p>")], "url string, html string")
+    got = {r.url: r.cleaned for r in html.clean_html(rows, url="url", now="2024-01-01T00:00:00").collect()}
+    assert got["u1"].startswith("Topic URL: u1\nDownloaded: 2024-01-01T00:00:00\n====") and got["u1"].endswith("long post text") and got["u2"] == ""

@@ -20,7 +20,7 @@ def test_normalize(spark):
 
 def test_sentences_and_script(spark):
     ru = values(spark, [("Поймал сома. Он большой! да. нет",)], X.split_sentences(F.col("c0"), "RU"))
-    assert ru == [(["Поймал сома", " Он большой", " да. нет"],)] or ru == [(["Поймал сома", " Он большой! да. нет"],)] or ru[0][0][0] == "Поймал сома"
+    assert ru == [(["Поймал сома", " Он большой! да. нет"],)]  # an end counts before a capital only
     assert values(spark, [("Привет мир",), ("hello",), ("",)], X.is_target_language(F.col("c0"), "ru")) == [(True,), (False,), (False,)]
     assert values(spark, [("",), ("x",)], X.is_target_language(F.col("c0"), "ru", 0)) == [(False,), (True,)]
 
