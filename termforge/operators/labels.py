@@ -29,11 +29,12 @@ def labelled_sentences(resolved: DataFrame, max_context: int = 200, min_length:
     pick = lambda keep: F.transform(F.filter("all", lambda x: x["label"]["is_valid"] == F.lit(keep)), lambda x: x["label"])
     lists = ordered.select(*keys, pick(True).alias("valid_labels"), pick(False).alias("invalid_labels"))
     long = (F.length("text") > max_context) & (F.size("valid_labels") > 0)
-    whole = lists.where(~long).select(*keys[:5], F.lit(0).alias("part"), "text", "valid_labels", "invalid_labels")
-    cut = lists.where(long).select(*keys[:2], F.concat("topic_url", F.lit(CONTEXT)).alias("topic_url"), "lang", "sent_seq", "text", F.posexplode("valid_labels").alias("part", "label"))
-    text = context_window(F.col("text"), F.col("label.start"), symmetric=symmetric)
-    cut = cut.select("topic_seq", "forum_url", "topic_url", "lang", "sent_seq", "part", text.alias("text"), F.array("label").alias("valid_labels"), F.array().cast(LABEL_TYPE).alias("invalid_labels"))
-    return whole.unionByName(cut.where(F.length("text") >= min_length))
+    row = lambda url, part, text, valid, invalid: F.struct(url.alias("topic_url"), part.cast("int").alias("part"), text.alias("text"), valid.alias("valid_labels"), invalid.alias("invalid_labels"))
+    window = lambda x, i: row(F.concat("topic_url", F.lit(CONTEXT)), i, context_window(F.col("text"), x["start"], symmetric=symmetric), F.array(x), F.array().cast(LABEL_TYPE))
+    whole = F.array(row(F.col("topic_url"), F.lit(0), F.col("text"), F.col("valid_labels"), F.col("invalid_labels")))
+    # one pass: a sentence gives itself, or a row for each window
+    out = F.when(long, F.filter(F.transform("valid_labels", window), lambda r: F.length(r["text"]) >= min_length)).otherwise(whole)
+    return lists.select("topic_seq", "forum_url", "lang", "sent_seq", F.explode(out).alias("r")).select("topic_seq", "forum_url", "r.topic_url", "lang", "sent_seq", "r.part", "r.text", "r.valid_labels", "r.invalid_labels")
 
 
 def first_sentences(labelled: DataFrame, limit: int) -> DataFrame:
