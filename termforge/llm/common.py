@@ -1,7 +1,7 @@
 """What the operators share: row keys, written intermediate tables, size-checked joins, and vectorised text hashing.
 
 Row keys. Operators order and link rows by ``sid``: the doc_id, or ``NULL_ID`` (the largest long) where doc_id is null, so
-rows without an id sort last and never win against rows with one. Operators select the columns they need by name, so extra
+rows without an id sort last and never win against rows with one. A doc_id that is itself the largest long counts as none. Operators select the columns they need by name, so extra
 columns of the input, whatever they are called, cannot clash with their own.
 """
 
@@ -85,7 +85,10 @@ def hot_join(big: DataFrame, small: DataFrame, key: str | list[str], times: str,
 
 
 def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """``df``, its session handing Python at most ``rows`` rows at a time where it is left at Spark's 10,000: texts are long."""
+    """``df``, its session handing Python at most ``rows`` rows at a time where it is left at Spark's 10,000: texts are long.
+
+    The setting stays, since the results are lazy; Spark's own bound of bytes a batch (64 MB) holds besides.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(df.sparkSession.conf.get(key)) == 10_000:
         df.sparkSession.conf.set(key, str(rows))

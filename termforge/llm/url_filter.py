@@ -8,7 +8,9 @@ theirs too: about as many rounds as the longest shortest path has links, and som
 are cycles. Edges are counted per pair of hosts before any join; a page is never joined with another page.
 
 A null url, or one without ``://``, has an empty host and path; no rule fits it and it is allowed. Null html has no links.
-Repeated rows each get the same verdict, and each counts as a page. An empty table gives an empty result.
+Repeated rows each get the same verdict, and each counts as a page. Of rules of equal length that fit, the first stated wins; a host whose trust
+equals its distrust is allowed. An empty table gives an empty result. Extra columns are not read; a long page is scanned whole by
+Spark's own expressions.
 """
 
 from __future__ import annotations
