@@ -56,9 +56,9 @@ def topic_urls(listings: DataFrame, kind: str, base_url: str) -> DataFrame:
     return first.withColumn("topic_seq", seq.cast("long")).select("forum_url", "topic_seq", "topic_url", topic_id(F.col("topic_url")).alias("topic_id"))
 
 
-def page_metadata(html: str | None, kind: str) -> tuple[str | None, str | None, str | None, list[str]]:
+def page_metadata(html: str | None, kind: str, closed: bool = False) -> tuple[str | None, str | None, str | None, list[str]]:
     """Author, the text that may hold a date, title, and raw ``datetime`` attributes."""
-    root = parse(html or "")
+    root = parse(html or "", closed)
     title = next((n.text() for n in select(root, "title")), None)
     if kind == "PHPBB":
         post = next(iter(select(root, "div.postbody")), None)
@@ -68,21 +68,21 @@ def page_metadata(html: str | None, kind: str) -> tuple[str | None, str | None,
     return author, html, title, [n.attrs["datetime"] for n in root.walk() if "datetime" in n.attrs]
 
 
-def _metadata(batches, kind):
+def _metadata(batches, kind, closed):
     import pyarrow as pa
 
     for batch in batches:
-        author, about, title, stamps = zip(*(page_metadata(h, kind) for h in batch.column("html").to_pylist()), strict=True) if batch.num_rows else ((), (), (), ())
+        author, about, title, stamps = zip(*(page_metadata(h, kind, closed) for h in batch.column("html").to_pylist()), strict=True) if batch.num_rows else ((), (), (), ())
         kept = [c for c in batch.schema.names if c != "html"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in kept), pa.array(author, pa.string()), pa.array(about, pa.string()), pa.array(title, pa.string()), pa.array(stamps, pa.list_(pa.string()))], [*kept, "author", "about", "title", "stamps"]
         )
 
 
-def topic_metadata(pages: DataFrame, kind: str) -> DataFrame:
-    """topic_url, author, creation_date and title from (topic_url, html)."""
+def topic_metadata(pages: DataFrame, kind: str, closed: bool = False) -> DataFrame:
+    """topic_url, author, creation_date and title from (topic_url, html). ``closed`` as in ``html.parse``."""
     kind = kind.upper()
-    rows = pages.select("topic_url", "html").mapInArrow(partial(_metadata, kind=kind), "topic_url string, author string, about string, title string, stamps array<string>")
+    rows = pages.select("topic_url", "html").mapInArrow(partial(_metadata, kind=kind, closed=closed), "topic_url string, author string, about string, title string, stamps array<string>")
     if kind == "PHPBB":
         # The date follows the author's name behind a literal &raquo;, which parsed pages no longer hold.
         raw = F.regexp_extract("about", r"&raquo;\s*(\d{2}-\d{2}-\d{4} \d{2}:\d{2})", 1)

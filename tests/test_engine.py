@@ -370,3 +370,12 @@ def test_cut_off_references_in_pages_are_those_of_the_sql(spark, tmp_path):
     duckdb.sql(f"CREATE OR REPLACE TEMP VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert got == dict(duckdb.sql(queries.ORACLE_SQL["cleaned_pages"]).fetchall()) and got[1].startswith("a &amp one & two ©")
     assert html.post_texts("<div class=message>a &amp</div>") == ["a &"]  # as browsers read it
+
+
+def test_cut_off_references_in_titles_are_those_of_the_sql(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "<title>a&amp;b &amp</title>"), (2, "<title>c &middot</title>"), (3, "<title>d &copy; e &am</title>")], "page_id long, html string")
+    rows.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.topic_url: (r.title, r.author) for r in queries.page_titles(spark, str(tmp_path)).collect()}
+    duckdb.sql(f"CREATE OR REPLACE TEMP VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == {u: (t, a) for u, t, a in duckdb.sql(queries.ORACLE_SQL["page_titles"]).fetchall()} and got["1"] == ("a&b &amp", None)
+    assert topics.page_metadata("<title>a &amp</title>", "VBULLETIN")[2] == "a &"  # as browsers read it
