@@ -2,6 +2,7 @@ import json
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,3 +380,60 @@ def test_cut_off_references_in_titles_are_those_of_the_sql(spark, tmp_path):
     duckdb.sql(f"CREATE OR REPLACE TEMP VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert got == {u: (t, a) for u, t, a in duckdb.sql(queries.ORACLE_SQL["page_titles"]).fetchall()} and got["1"] == ("a&b &amp", None)
     assert topics.page_metadata("<title>a &amp</title>", "VBULLETIN")[2] == "a &"  # as browsers read it
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def edited(rng, text, n):
+    """``text`` after ``n`` random edits of all kinds."""
+    t = list(text)
+    for _ in range(n):
+        at, kind = rng.randrange(len(t) + 1), rng.randrange(3)
+        t[at : at + (kind > 0)] = [rng.choice("abcdeé🐟 ")] * (kind < 2)
+    return "".join(t)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 0.9, 0.97])
+def test_near_texts_lose_no_pair(threshold, monkeypatch):
+    """What may be similar, found in chunks and parts of any size, holds every pair that is."""
+    rng = random.Random(int(threshold * 100))
+    base = ["".join(rng.choice("abcdeé🐟 ") for _ in range(rng.randrange(1, 90))) for _ in range(12)]
+    texts = sorted({t for b in base for t in (b, *(edited(rng, b, rng.randrange(1, 2 + int(len(b) * (1 - threshold)))) for _ in range(8))) if t})
+    near = {(i, j) for j, b in enumerate(texts) for i, a in enumerate(texts[:j]) if distance(a, b) <= int(max(len(a), len(b)) * round(1 - threshold, 10) + 1e-9)}
+    ids = np.arange(len(texts))
+    for chunk, pairs in ((1 << 19, 1 << 20), (100, 7)):
+        monkeypatch.setattr(dedup, "CHUNK", chunk)
+        monkeypatch.setattr(dedup, "PAIRS", pairs)
+        found = [(min(i, j), max(i, j)) for s, l in dedup._near_texts((ids, texts), (ids, texts), threshold) for i, j in zip(s.tolist(), l.tolist(), strict=True)]
+        assert near and near <= set(found) and len(found) == len(set(found))
+
+
+def test_similar_pairs_in_a_grid_of_blocks(spark, tmp_path, monkeypatch):
+    """Blocks of a few texts, and as few rows sent as there are texts and blocks: not one a character."""
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcde ") for _ in range(rng.randrange(90, 300))) for _ in range(30)]
+    texts = [t for b in base for t in (b, edited(rng, b, len(b) // 20), edited(rng, b, len(b) // 10), edited(rng, b, len(b) // 8))]
+    spark.createDataFrame(list(enumerate(texts)), "id long, text string").write.parquet(f"{tmp_path}/texts")
+    rows = spark.read.parquet(f"{tmp_path}/texts")
+    want = {(i, j) for j, b in enumerate(texts) for i in range(j - j % 4, j) if distance(texts[i], b) * 10 <= max(len(texts[i]), len(b))}
+    jvm, store = spark._jvm, spark.sparkContext._jsc.sc().statusStore()
+    none = jvm.java.util.ArrayList()
+    stages = lambda: {(x.stageId(), x.attemptId()): x.shuffleWriteRecords() for x in jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(none, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), none))}
+    before, small = stages(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as tables are too large
+    try:
+        assert {(r.a, r.b) for r in dedup.similar_pairs(rows).collect()} == want and len(want) > 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert sum(n for k, n in stages().items() if k not in before) < 10 * len(texts)
+    monkeypatch.setattr(dedup, "BLOCK", 700)
+    monkeypatch.setattr(dedup, "SLICE", 900)
+    assert sorted((r.a, r.b) for r in dedup.similar_pairs(rows).collect()) == sorted(want)
